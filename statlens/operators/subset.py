@@ -51,8 +51,28 @@ def bands(
     require_columns(df, [column])
     x = qcol(column)
     names = F.array(*[F.when(band_condition(x, lo, hi), F.lit(name)) for name, lo, hi in edges])
-    in_bands = F.filter(names, lambda b: b.isNotNull())
-    return df.select("*", F.explode(in_bands).alias(band_col))
+    return df.select("*", F.explode(names).alias(band_col)).where(F.col(band_col).isNotNull())
+
+
+def band_counts(
+    df: DataFrame,
+    column: str,
+    edges: Sequence[tuple[str, float | None, float | None]] = POVERTY_BANDS,
+    band_col: str = "band",
+    count_col: str = "n_rows",
+) -> DataFrame:
+    """Rows per band (a row on a shared edge counts in both bands, Q1).
+
+    One global aggregate of conditional counts: no row is multiplied or
+    shuffled, each task sends one partial row, and the result is reshaped
+    to one row per band.
+    """
+    require_columns(df, [column])
+    x = qcol(column)
+    counts = df.agg(*[F.count_if(band_condition(x, lo, hi)).alias(f"__b{i}") for i, (_, lo, hi) in enumerate(edges)])
+    items = [F.struct(F.lit(name).alias(band_col), F.col(f"__b{i}").alias(count_col))
+             for i, (name, _, _) in enumerate(edges)]
+    return counts.select(F.inline(F.array(*items)))
 
 
 def band(df: DataFrame, column: str, lo: float | None, hi: float | None) -> DataFrame:

@@ -109,7 +109,7 @@ def q_override_value(spark, sf):
 
 def q_bands(spark, sf):
     li = table(spark, sf, "lineitem").select("l_discount")
-    return subset.bands(li, "l_discount", DISCOUNT_BANDS).groupBy("band").agg(F.count(F.lit(1)).alias("n_rows"))
+    return subset.band_counts(li, "l_discount", DISCOUNT_BANDS)
 
 
 def q_scalar_stats(spark, sf):

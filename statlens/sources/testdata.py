@@ -1,4 +1,9 @@
-"""The driver's test tables (TPC-H-like star schema plus text tables)."""
+"""The driver's test tables (TPC-H-like star schema plus text tables).
+
+Schemas are declared, not inferred: inferring a parquet schema runs a
+footer-reading Spark job per table read, and a declared schema also catches
+a file whose columns changed type.  A table not listed here is inferred.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +14,31 @@ TABLES = (
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
+# Column names and types of the test tables.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """``{sf_dir}/{name}.parquet`` as a DataFrame."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """``{sf_dir}/{name}.parquet`` as a DataFrame with its declared schema."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = SCHEMAS.get(name)
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(path)
