@@ -50,6 +50,7 @@ def reference_lines(
     probs: Sequence[float] = (0.75, 0.25),
     mean: bool = True,
     mean_scale: int | None = None,
+    method: str = "distributed",
 ) -> DataFrame:
     """Points of a subset with horizontal lines from the *full* frame.
 
@@ -58,7 +59,7 @@ def reference_lines(
     merged scalar subqueries.
     """
     require_columns(full, [column])
-    stats = scalar_stats(full, [column], probs=probs, mean_scale=mean_scale)
+    stats = scalar_stats(full, [column], probs=probs, mean_scale=mean_scale, method=method)
     names = [stat_name(p) for p in probs] + (["mean"] if mean else [])
     return points.select("*", *[stat(stats, f"{column}_{n}").alias(n) for n in names])
 

@@ -21,8 +21,17 @@ from pyspark.sql import functions as F
 
 from statlens.functions.aggregates import exact_mean
 from statlens.functions.columns import qcol, require_columns
+from statlens.operators.quantiles import distributed_stats
 
 DEFAULT_PROBS = (0.25, 0.5, 0.75)
+# Quantile methods:
+#   "distributed": exact, every step bounded (operators.quantiles); the
+#                  default, safe for a column of any size and cardinality.
+#   "exact":       Spark's ``percentile``; its final merge holds every
+#                  distinct value in one task, so only for frames known to be
+#                  small (one row per country, nation, department...).
+#   "approx":      ``percentile_approx``, an element of the data, bounded memory.
+METHODS = ("distributed", "exact", "approx")
 
 
 def stat_name(p: float) -> str:
@@ -38,19 +47,25 @@ def scalar_stats(
     cols: Sequence[str],
     probs: Sequence[float] = DEFAULT_PROBS,
     mean_scale: int | None = None,
-    approx: bool = False,
+    method: str = "distributed",
     accuracy: int = 10000,
 ) -> DataFrame:
     """One row: ``{col}_{stat}`` for each column and statistic, plus ``n``.
 
     Statistics: ``mean`` and one quantile per probability (``median`` for
     0.5, ``p25``...).  Quantiles are exact and linearly interpolated (as
-    ``numpy.quantile``) unless ``approx=True`` (``percentile_approx``, an
+    ``numpy.quantile``) unless ``method="approx"`` (``percentile_approx``, an
     element of the data, bounded memory).  ``mean_scale`` sums a fixed-scale
-    column as DECIMAL for an exact, partition-independent mean.
+    column as DECIMAL for an exact, partition-independent mean.  ``method``
+    is one of ``METHODS`` (see above).
     """
     require_columns(df, cols)
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
     probs = list(probs)
+    if method == "distributed":
+        return distributed_stats(df, cols, probs, [stat_name(p) for p in probs], mean_scale=mean_scale)
+    approx = method == "approx"
     aggs: list[Column] = [F.count(F.lit(1)).alias("n")]
     for c in cols:
         x = qcol(c).cast("double")

@@ -91,35 +91,43 @@ def above_stat(
     statistic: str = "median",
     stats_of: DataFrame | None = None,
     mean_scale: int | None = None,
+    method: str = "distributed",
 ) -> DataFrame:
     """Rows strictly above the frame's ``median`` or ``mean`` in every column."""
     require_columns(df, cols)
     probs = [0.5] if statistic == "median" else []
-    stats = scalar_stats(stats_of if stats_of is not None else df, cols, probs=probs, mean_scale=mean_scale)
+    stats = scalar_stats(stats_of if stats_of is not None else df, cols, probs=probs, mean_scale=mean_scale,
+                         method=method)
     return df.where(_all([qcol(c) > stat(stats, f"{c}_{statistic}") for c in cols]))
 
 
-def above_medians(df: DataFrame, cols: Sequence[str], stats_of: DataFrame | None = None) -> DataFrame:
+def above_medians(
+    df: DataFrame, cols: Sequence[str], stats_of: DataFrame | None = None, method: str = "distributed"
+) -> DataFrame:
     """Rows above the median of each column, all strict."""
-    return above_stat(df, cols, "median", stats_of)
+    return above_stat(df, cols, "median", stats_of, method=method)
 
 
 def above_means(
     df: DataFrame, cols: Sequence[str], stats_of: DataFrame | None = None, mean_scale: int | None = None
 ) -> DataFrame:
     """Rows above the mean of each column, all strict."""
-    return above_stat(df, cols, "mean", stats_of, mean_scale)
+    return above_stat(df, cols, "mean", stats_of, mean_scale, method="exact")
 
 
-def lower_quartile(df: DataFrame, column: str, p: float = 0.25, stats_of: DataFrame | None = None) -> DataFrame:
+def lower_quartile(
+    df: DataFrame, column: str, p: float = 0.25, stats_of: DataFrame | None = None, method: str = "distributed"
+) -> DataFrame:
     """Rows at or below the ``p`` quantile, inclusive."""
-    stats = scalar_stats(stats_of if stats_of is not None else df, [column], probs=[p])
+    stats = scalar_stats(stats_of if stats_of is not None else df, [column], probs=[p], method=method)
     return df.where(qcol(column) <= stat(stats, f"{column}_{stat_name(p)}"))
 
 
-def upper_quartile(df: DataFrame, column: str, p: float = 0.75, stats_of: DataFrame | None = None) -> DataFrame:
+def upper_quartile(
+    df: DataFrame, column: str, p: float = 0.75, stats_of: DataFrame | None = None, method: str = "distributed"
+) -> DataFrame:
     """Rows at or above the ``p`` quantile, inclusive."""
-    stats = scalar_stats(stats_of if stats_of is not None else df, [column], probs=[p])
+    stats = scalar_stats(stats_of if stats_of is not None else df, [column], probs=[p], method=method)
     return df.where(qcol(column) >= stat(stats, f"{column}_{stat_name(p)}"))
 
 
@@ -129,15 +137,15 @@ def quartile_and_mean(
     mean_col: str,
     p: float = 0.75,
     mean_scale: int | None = None,
+    method: str = "distributed",
 ) -> DataFrame:
     """Upper-quantile rows of one column that also exceed another column's mean.
 
-    Both statistics are of the full frame, not of the subset (Q16); they
-    come from one aggregate.
+    Both statistics are of the full frame, not of the subset (Q16).
     """
     require_columns(df, [quartile_col, mean_col])
-    qstats = scalar_stats(df, [quartile_col], probs=[p])
-    mstats = scalar_stats(df, [mean_col], probs=[], mean_scale=mean_scale)
+    qstats = scalar_stats(df, [quartile_col], probs=[p], method=method)
+    mstats = scalar_stats(df, [mean_col], probs=[], mean_scale=mean_scale, method="exact")
     return df.where(
         (qcol(quartile_col) >= stat(qstats, f"{quartile_col}_{stat_name(p)}"))
         & (qcol(mean_col) > stat(mstats, f"{mean_col}_mean"))

@@ -28,6 +28,9 @@ POVERTY = "Share in extreme poverty"
 POPULATION = "Population"
 CORRUPTION = "Political corruption index"
 WORLD_CORRECTIONS = {"Central African Republic": 52.31}
+# Every frame here is one row per country (a few hundred rows), so Spark's
+# single-merge ``percentile`` is bounded; see ``operators.stats.METHODS``.
+M = "exact"
 
 
 def clean_frames(
@@ -89,18 +92,18 @@ def poverty_results(pov: DataFrame) -> dict[str, DataFrame]:
         out[f"poverty_band_{name}"] = charts.bubble_dataset(
             subset.band(pov, POVERTY, lo, hi), COUNTRY, POVERTY, LIFE, POPULATION, charts.BAND_BUBBLE_DIVISOR
         )
-    medians = subset.above_medians(pov, [LIFE, POVERTY])
+    medians = subset.above_medians(pov, [LIFE, POVERTY], method=M)
     out["above_medians"] = medians
     out["above_medians_report"] = subset.subset_report(medians, COUNTRY)
     means = subset.above_means(pov, [LIFE, POVERTY])
     out["above_means"] = means
     out["above_means_report"] = subset.subset_report(means, COUNTRY)
-    low = subset.lower_quartile(pov, POVERTY)
+    low = subset.lower_quartile(pov, POVERTY, method=M)
     out["low_poverty"] = low
     out["low_poverty_report"] = subset.subset_report(low, COUNTRY)
     out["low_poverty_lines"] = charts.reference_lines(
         charts.bubble_dataset(low, COUNTRY, POVERTY, LIFE, POPULATION, charts.BAND_BUBBLE_DIVISOR),
-        pov, LIFE, probs=(0.75, 0.25),
+        pov, LIFE, probs=(0.75, 0.25), method=M,
     )
     return out
 
@@ -125,19 +128,19 @@ def corruption_results(
         "top_10_ladder": charts.ranked_bars(j, COUNTRY, LADDER, 10),
         "top_20_corruption": charts.ranked_bars(j, COUNTRY, CORRUPTION, 20),
     }
-    low = subset.lower_quartile(j, CORRUPTION)
+    low = subset.lower_quartile(j, CORRUPTION, method=M)
     out["low_corruption"] = low
     out["low_corruption_report"] = subset.subset_report(low, COUNTRY)
     out["low_corruption_lines"] = charts.reference_lines(
-        charts.scatter_dataset(low, COUNTRY, CORRUPTION, LADDER), j, LADDER, probs=(0.75, 0.25)
+        charts.scatter_dataset(low, COUNTRY, CORRUPTION, LADDER), j, LADDER, probs=(0.75, 0.25), method=M
     )
-    high = subset.upper_quartile(j, CORRUPTION)
+    high = subset.upper_quartile(j, CORRUPTION, method=M)
     out["high_corruption"] = high
     out["high_corruption_report"] = subset.subset_report(high, COUNTRY)
     out["high_corruption_lines"] = charts.reference_lines(
-        charts.scatter_dataset(high, COUNTRY, CORRUPTION, LADDER), j, LADDER, probs=(0.75, 0.25)
+        charts.scatter_dataset(high, COUNTRY, CORRUPTION, LADDER), j, LADDER, probs=(0.75, 0.25), method=M
     )
-    hq = subset.quartile_and_mean(j, CORRUPTION, LADDER)
+    hq = subset.quartile_and_mean(j, CORRUPTION, LADDER, method=M)
     out["high_corruption_high_ladder"] = hq
     out["high_corruption_high_ladder_head"] = rank.first_n(hq, 9, (COUNTRY,))
     out["continents"] = combine.group_comparison(

@@ -29,6 +29,11 @@ CORRECTION = {"NATION_5": 52.31}
 DISCOUNT_BANDS = [("low", None, 0.03), ("middle", 0.03, 0.07), ("high", 0.07, None)]
 QUANTITY_BANDS = [("low", None, 25.5), ("high", 25.5, None)]
 RUN = {"run_name": "dept_stats_publish", "source": "employees", "destination": "report_table"}
+# The indicator frames hold one row per entity and year (after the year filter,
+# one row per nation or region), so Spark's single-merge ``percentile`` is
+# bounded by the number of entities.  Base tables (customer) use the default
+# distributed method, which is bounded at any size.
+ENTITY_METHOD = "exact"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -124,7 +129,7 @@ def q_scalar_stats(spark, sf):
 
 
 def q_above_medians(spark, sf):
-    return subset.above_medians(ent_countries(spark, sf), ["v", "b"]).select("Country", "v", "b")
+    return subset.above_medians(ent_countries(spark, sf), ["v", "b"], method=ENTITY_METHOD).select("Country", "v", "b")
 
 
 def q_above_means(spark, sf):
@@ -144,11 +149,12 @@ def q_upper_quartile(spark, sf):
 
 
 def q_quartile_and_mean(spark, sf):
-    return subset.quartile_and_mean(joined(spark, sf), "q", "v").select("Country", "q", "v")
+    return subset.quartile_and_mean(joined(spark, sf), "q", "v", method=ENTITY_METHOD).select("Country", "q", "v")
 
 
 def q_subset_report(spark, sf):
-    return subset.subset_report(subset.above_medians(ent_countries(spark, sf), ["v", "b"]), "Country")
+    medians = subset.above_medians(ent_countries(spark, sf), ["v", "b"], method=ENTITY_METHOD)
+    return subset.subset_report(medians, "Country")
 
 
 def q_indicator_join(spark, sf):
@@ -157,8 +163,8 @@ def q_indicator_join(spark, sf):
 
 def q_reference_lines(spark, sf):
     full = ent_countries(spark, sf)
-    points = subset.lower_quartile(full, "v").select("Country", "v", "pop")
-    return charts.reference_lines(points, full, "pop", probs=(0.75, 0.25))
+    points = subset.lower_quartile(full, "v", method=ENTITY_METHOD).select("Country", "v", "pop")
+    return charts.reference_lines(points, full, "pop", probs=(0.75, 0.25), method=ENTITY_METHOD)
 
 
 def q_group_comparison(spark, sf):
