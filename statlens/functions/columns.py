@@ -23,6 +23,17 @@ def qcol(name: str) -> Column:
     return F.col(quote(name))
 
 
+def sql_str(value: str) -> str:
+    """A SQL string literal for ``value`` (backslash escapes, Spark's default)."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_in(column: str, values) -> str:
+    """``column IN (...)`` over string or numeric literals."""
+    items = ", ".join(sql_str(v) if isinstance(v, str) else repr(v) for v in values)
+    return f"{quote(column)} IN ({items})"
+
+
 def require_columns(df: DataFrame, names) -> None:
     """Raise if any of ``names`` is not a column of ``df``.
 
@@ -46,7 +57,7 @@ def select_renamed(df: DataFrame, columns, renames: Mapping[str, str] | None = N
     """Select raw column names (P1) and rename some of them (P3) in one projection."""
     renames = dict(renames or {})
     require_columns(df, list(columns) + list(renames))
-    return df.select(*[qcol(c).alias(renames.get(c, c)) for c in columns])
+    return df.selectExpr(*[f"{quote(c)} AS {quote(renames.get(c, c))}" for c in columns])
 
 
 def override_value(

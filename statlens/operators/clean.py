@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statlens.functions.columns import qcol, require_columns, select_renamed
+from statlens.functions.columns import qcol, quote, require_columns, select_renamed, sql_in
 
 # Fixed values from the reference analysis (kept as defaults of the operators).
 DEFAULT_YEAR = 2021
@@ -59,9 +59,9 @@ def _label_filter(df: DataFrame, label_col: str, labels, keep: bool) -> DataFram
     if len(labels) > ISIN_MAX:
         spark = df.sparkSession
         return _label_filter(df, label_col, spark.createDataFrame([(x,) for x in labels], "label string"), keep)
-    cond = qcol(label_col).isin(labels)
+    cond = sql_in(label_col, labels)
     # As in the reference (and SQL NOT IN), a NULL label is dropped either way.
-    return df.where(cond) if keep else df.where(~cond)
+    return df.where(cond) if keep else df.where(f"NOT ({cond})")
 
 
 def exclude_groups(df: DataFrame, label_col: str, labels=INCOME_GROUPS) -> DataFrame:
@@ -85,15 +85,17 @@ def country_rows(
     ``Australia`` is a continent and a country, so it is in both
     ``group_rows`` and ``country_rows``.
     """
-    label = qcol(label_col)
-    return df.where(~label.isin(list(groups)) | label.isin(list(keep)))
+    cond = f"NOT ({sql_in(label_col, groups)})"
+    if keep:
+        cond = f"{cond} OR {sql_in(label_col, keep)}"
+    return df.where(cond)
 
 
 def year_filter(df: DataFrame, year: int | None, year_col: str = "Year") -> DataFrame:
     """Keep one year (F1)."""
     if year is None:
         return df
-    return df.where(qcol(year_col) == F.lit(int(year)))
+    return df.where(f"{quote(year_col)} = {int(year)}")
 
 
 def clean_indicator(

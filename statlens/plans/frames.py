@@ -30,7 +30,7 @@ Plan, chosen for 100 TB inputs:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statlens.sources.testdata import table
@@ -42,85 +42,63 @@ def _year_range(df: DataFrame, column: str, year: int | None) -> DataFrame:
     """Rows of one calendar year as a range on the raw column (pushed to the scan)."""
     if year is None:
         return df
-    dtype = df.schema[column].dataType
-    lo = F.lit(f"{int(year):04d}-01-01 00:00:00").cast(dtype)
-    hi = F.lit(f"{int(year) + 1:04d}-01-01 00:00:00").cast(dtype)
-    return df.where((F.col(column) >= lo) & (F.col(column) < hi))
+    dtype = df.schema[column].dataType.simpleString()
+    lo = f"CAST('{int(year):04d}-01-01 00:00:00' AS {dtype})"
+    hi = f"CAST('{int(year) + 1:04d}-01-01 00:00:00' AS {dtype})"
+    return df.where(f"{column} >= {lo} AND {column} < {hi}")
 
 
 def _dims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "n_name", "r_name")
+    """``n_nationkey, n_name, r_name``: the two fixed-size dimension tables."""
+    nation = table(spark, sf_dir, "nation")
+    region = table(spark, sf_dir, "region")
+    return nation.join(region, F.expr("n_regionkey = r_regionkey")).selectExpr("n_nationkey", "n_name", "r_name")
 
 
-def _rollup(per_nation: DataFrame, sums: dict[str, str]) -> DataFrame:
+def _rollup(per_nation: DataFrame, measures: list[str], finals: list[str]) -> DataFrame:
     """Nation, region and World rows from per-(nation, region, year) sums."""
     return per_nation.groupingSets(
         [["n_name", "r_name", "Year"], ["r_name", "Year"], ["Year"]],
         "n_name", "r_name", "Year",
-    ).agg(*[F.sum(c).alias(c) for c in sums]).select(
-        F.coalesce("n_name", "r_name", F.lit("World")).alias("Entity"),
-        "Year",
-        *[F.col(c) for c in sums],
+    ).agg(*[F.expr(f"sum({m}) AS {m}") for m in measures]).selectExpr(
+        "coalesce(n_name, r_name, 'World') AS Entity", "Year", *finals
     )
 
 
-def _mean(total: str, count: str) -> Column:
-    return F.col(total).cast("double") / F.col(count)
+def _per_key_year(fact: DataFrame, key: str, date: str, value: str, alias: str) -> DataFrame:
+    """Exact sum and count of ``value`` per (foreign key, year): partial aggregation first."""
+    return fact.groupBy(F.col(key), F.expr(f"CAST(year({date}) AS INT) AS Year")).agg(
+        F.expr(f"sum(CAST({value} AS {MONEY})) AS {alias}"), F.expr("count(1) AS n")
+    )
 
 
 def entity_frame(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     """``Entity, Year, v, b, pop`` from orders x customer x nation x region."""
     orders = _year_range(table(spark, sf_dir, "orders"), "o_orderdate", year)
-    per_customer = orders.select(
-        F.col("o_custkey"),
-        F.year("o_orderdate").cast("int").alias("Year"),
-        F.col("o_totalprice").cast(MONEY).alias("price"),
-    ).groupBy("o_custkey", "Year").agg(
-        F.sum("price").alias("s_price"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    customer = table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_nationkey", F.col("c_acctbal").cast(MONEY).alias("acct")
+    per_customer = _per_key_year(orders, "o_custkey", "o_orderdate", "o_totalprice", "s_price")
+    customer = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey", "c_nationkey", f"CAST(c_acctbal AS {MONEY}) AS acct"
     )
     per_nation = (
-        per_customer.join(customer, per_customer.o_custkey == customer.c_custkey)
-        .join(_dims(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
+        per_customer.join(customer, F.expr("o_custkey = c_custkey"))
+        .join(_dims(spark, sf_dir), F.expr("c_nationkey = n_nationkey"))
         .groupBy("n_name", "r_name", "Year")
-        .agg(
-            F.sum("s_price").alias("s_price"),
-            F.sum(F.col("acct") * F.col("n")).alias("s_acct"),
-            F.sum("n").alias("n"),
-        )
-    )
-    rolled = _rollup(per_nation, {"s_price": "sum", "s_acct": "sum", "n": "sum"})
-    return rolled.select(
-        "Entity",
-        "Year",
-        _mean("s_price", "n").alias("v"),
-        _mean("s_acct", "n").alias("b"),
-        F.col("n").alias("pop"),
+        .agg(F.expr("sum(s_price) AS s_price"), F.expr("sum(acct * n) AS s_acct"), F.expr("sum(n) AS n"))
     )
+    return _rollup(per_nation, ["s_price", "s_acct", "n"], [
+        "CAST(s_price AS DOUBLE) / n AS v", "CAST(s_acct AS DOUBLE) / n AS b", "n AS pop",
+    ])
 
 
 def index_frame(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     """``Entity, Year, q`` from lineitem x supplier x nation x region."""
     lines = _year_range(table(spark, sf_dir, "lineitem"), "l_shipdate", year)
-    per_supplier = lines.select(
-        F.col("l_suppkey"),
-        F.year("l_shipdate").cast("int").alias("Year"),
-        F.col("l_quantity").cast(MONEY).alias("qty"),
-    ).groupBy("l_suppkey", "Year").agg(
-        F.sum("qty").alias("s_qty"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    per_supplier = _per_key_year(lines, "l_suppkey", "l_shipdate", "l_quantity", "s_qty")
+    supplier = table(spark, sf_dir, "supplier").selectExpr("s_suppkey", "s_nationkey")
     per_nation = (
-        per_supplier.join(supplier, per_supplier.l_suppkey == supplier.s_suppkey)
-        .join(_dims(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"))
+        per_supplier.join(supplier, F.expr("l_suppkey = s_suppkey"))
+        .join(_dims(spark, sf_dir), F.expr("s_nationkey = n_nationkey"))
         .groupBy("n_name", "r_name", "Year")
-        .agg(F.sum("s_qty").alias("s_qty"), F.sum("n").alias("n"))
+        .agg(F.expr("sum(s_qty) AS s_qty"), F.expr("sum(n) AS n"))
     )
-    rolled = _rollup(per_nation, {"s_qty": "sum", "n": "sum"})
-    return rolled.select("Entity", "Year", _mean("s_qty", "n").alias("q"))
+    return _rollup(per_nation, ["s_qty", "n"], ["CAST(s_qty AS DOUBLE) / n AS q"])
