@@ -31,7 +31,7 @@ def test_year_filter_reaches_scan(spark):
 def test_fact_tables_pre_aggregated_before_join(spark):
     p = plan(QUERIES["indicator_join"](spark, SF001))
     for key in ("o_custkey", "l_suppkey"):
-        assert re.search(rf"HashAggregate\(keys=\[{key}#\d+L?, Year#\d+\], functions=\[partial_sum", p), key
+        assert re.search(rf"HashAggregate\(keys=\[{key}#\d+L?, [^\]]+\], functions=\[partial_sum", p), key
 
 
 def test_top_k_is_take_ordered(spark):
