@@ -85,9 +85,9 @@ def override_value(
         new_value = expr.otherwise(qcol(value_col)).cast(df.schema[value_col].dataType)
         return df.withColumn(value_col, new_value)
     key_name, val_name = corrections.columns[:2]
-    fix = corrections.select(
-        qcol(key_name).alias("__fix_key"), qcol(val_name).alias("__fix_value")
-    ).dropDuplicates(["__fix_key"])
+    # One value per key; if a key is listed twice the larger value wins, so
+    # the result does not depend on which task saw which row.
+    fix = corrections.groupBy(qcol(key_name).alias("__fix_key")).agg(F.max(qcol(val_name)).alias("__fix_value"))
     joined = df.join(fix, qcol(key_col) == F.col("__fix_key"), "left")
     cols = [
         (F.coalesce(F.col("__fix_value").cast(df.schema[value_col].dataType), qcol(value_col)).alias(value_col)
