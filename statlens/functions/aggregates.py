@@ -37,21 +37,3 @@ def exact_mean(column: Column | str, scale: int | None = None) -> Column:
     if scale is None:
         return F.avg(c)
     return exact_sum(c, scale).cast("double") / F.count(c)
-
-
-def exact_quantile(column: Column | str, p: float) -> Column:
-    """Exact quantile with linear interpolation between neighbours (A2, A4).
-
-    Same definition as ``numpy.quantile``'s default: position ``p*(n-1)``
-    in the sorted values, interpolated.  Spark's ``percentile`` keeps a
-    value->count map per task and merges them, so its memory grows with the
-    number of *distinct* values, not rows; for unbounded distinct counts use
-    ``statlens.operators.quantiles.distributed_quantiles`` or
-    ``approx_quantile``.
-    """
-    return F.percentile(_c(column).cast("double"), F.lit(float(p)))
-
-
-def approx_quantile(column: Column | str, p: float, accuracy: int = 10000) -> Column:
-    """Approximate quantile (an element of the data), as used by ``summary()``."""
-    return F.percentile_approx(_c(column).cast("double"), F.lit(float(p)), F.lit(accuracy))

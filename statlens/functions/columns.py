@@ -106,9 +106,3 @@ def rescale(column: Column | str, divisor: float = 1.0, factor: float = 1.0) ->
     if factor != 1.0:
         out = out * F.lit(float(factor))
     return out
-
-
-def metric_name(prefix: Column | str, suffix: str) -> Column:
-    """``{prefix}{suffix}`` (P10), e.g. ``sales`` + ``_avg_salary``."""
-    c = qcol(prefix) if isinstance(prefix, str) else prefix
-    return F.concat(c, F.lit(suffix))

@@ -69,14 +69,3 @@ def ranked_bars(df: DataFrame, label: str, value: str, k: int) -> DataFrame:
     return top_k(df, value, k, tie_break=(label,)).select(
         qcol(label).alias("label"), qcol(value).cast("double").alias("value")
     )
-
-
-def long_form(df: DataFrame, id_cols: Sequence[str], value_cols: Sequence[str], factors=None) -> DataFrame:
-    """Grouped-bar data in long form ``*id_cols, series, value`` (V5)."""
-    factors = dict(factors or {})
-    require_columns(df, [*id_cols, *value_cols])
-    scaled = df.select(
-        *[qcol(c) for c in id_cols],
-        *[(qcol(c).cast("double") * F.lit(float(factors.get(c, 1.0)))).alias(c) for c in value_cols],
-    )
-    return scaled.unpivot(list(id_cols), list(value_cols), "series", "value")

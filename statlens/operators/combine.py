@@ -42,15 +42,6 @@ def indicator_join(
     return left.join(right, keys, how)
 
 
-def label_positions(spark, labels: Sequence[str], label_col: str = "label") -> DataFrame:
-    """The label dimension ``(position, label)`` of a fixed display order (T4).
-
-    Built from the literal list in one projection; no data is moved.
-    """
-    items = [F.struct(F.lit(i).alias("position"), F.lit(v).alias(label_col)) for i, v in enumerate(labels)]
-    return spark.range(1).select(F.inline(F.array(*items)))
-
-
 def group_comparison(
     series: Mapping[str, tuple[DataFrame, str, str, float]],
     labels: Sequence[str],

@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlens.functions.columns import qcol, rename_checked, select_renamed
+from statlens.functions.columns import rename_checked, select_renamed
 from statlens.operators import charts, clean, combine, dept, profile, publish, rank, stats, subset
 from statlens.plans.frames import entity_frame, index_frame
 from statlens.sources.testdata import TABLES, table
