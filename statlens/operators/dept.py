@@ -31,7 +31,11 @@ def to_salary(column: Column, data_type) -> Column:
         value = column.cast("bigint")
     else:
         raise TypeError(f"salary must be text or numeric, not {data_type.simpleString()}")
-    return F.when(column.isNull(), F.raise_error(F.lit("salary is missing"))).otherwise(value)
+    # Both checks hold whatever spark.sql.ansi.enabled is: with ANSI off a bad
+    # text casts to NULL instead of raising, and is caught by the second one.
+    return (F.when(column.isNull(), F.raise_error(F.lit("salary is missing")))
+            .when(value.isNull(), F.raise_error(F.concat(F.lit("salary is not a number: "), column.cast("string"))))
+            .otherwise(value))
 
 
 def employees(

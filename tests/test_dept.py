@@ -71,3 +71,15 @@ def test_null_department_is_one_group(spark):
     assert got == {None: 2, "x": 1}
     rep = report_table(dept_stats(employees(df))).collect()
     assert rep[0]["department"] == ""   # NULL -> "" in the report (Q12)
+
+
+@pytest.mark.parametrize("text", ["abc", ""])
+def test_salary_bad_raises_without_ansi(spark, text):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = spark.createDataFrame([(1, "x", text, "d")], "id int, name string, salary string, department string")
+        with pytest.raises(PySparkException):
+            employees(df).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
