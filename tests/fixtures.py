@@ -7,33 +7,34 @@ import csv
 import math
 import os
 
-# The reference's sample snapshot (25 employees).
+# Id, salary and department of the reference's 25-row sample
+# snapshot.  Names do not enter any result and are given as ids here.
 EMPLOYEES_CSV = """id,name,salary,department
-1,john,2000,sales
-2,andrew,5000,finance
-3,mark,8000,hr
-4,rey,5000,marketing
-5,tan,9000,it
-6,emma,2100,sales
-7,sophia,4800,finance
-8,jake,8300,hr
-9,liam,6200,marketing
-10,oliver,9500,it
-11,ava,2300,sales
-12,noah,7200,finance
-13,mia,7900,hr
-14,lucas,5100,marketing
-15,amelia,8700,it
-16,charlie,2400,sales
-17,grace,5400,finance
-18,james,8100,hr
-19,zoe,5900,marketing
-20,ethan,9100,it
-21,steven,6000,it
-22,ivan,8000,it
-23,stefan,10000,it
-24,hristina,3000,hr
-25,george,1200,sales
+1,employee_1,2000,sales
+2,employee_2,5000,finance
+3,employee_3,8000,hr
+4,employee_4,5000,marketing
+5,employee_5,9000,it
+6,employee_6,2100,sales
+7,employee_7,4800,finance
+8,employee_8,8300,hr
+9,employee_9,6200,marketing
+10,employee_10,9500,it
+11,employee_11,2300,sales
+12,employee_12,7200,finance
+13,employee_13,7900,hr
+14,employee_14,5100,marketing
+15,employee_15,8700,it
+16,employee_16,2400,sales
+17,employee_17,5400,finance
+18,employee_18,8100,hr
+19,employee_19,5900,marketing
+20,employee_20,9100,it
+21,employee_21,6000,it
+22,employee_22,8000,it
+23,employee_23,10000,it
+24,employee_24,3000,hr
+25,employee_25,1200,sales
 """
 
 # Expected statistics of EMPLOYEES_CSV (FIXTURES.md §2).
