@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlens.functions.columns import rename_checked, select_renamed
+from statlens.functions.columns import override_value, rename_checked, select_renamed
 from statlens.operators import charts, clean, combine, dept, profile, publish, rank, stats, subset
 from statlens.plans.frames import entity_frame, index_frame
 from statlens.sources.testdata import TABLES, table
@@ -108,7 +108,6 @@ def q_country_rows(spark, sf):
 
 
 def q_override_value(spark, sf):
-    from statlens.functions.columns import override_value
     return override_value(ent_countries(spark, sf), "Country", "v", CORRECTION)
 
 
@@ -431,188 +430,6 @@ LEFT JOIN (
   SELECT Country AS label, 'v' AS series, v AS value FROM ent_c WHERE Country IN {_in(GROUPS)}
   UNION ALL SELECT Country AS label, 'q_x10' AS series, q * 10.0 AS value FROM idx_c WHERE Country IN {_in(GROUPS)}
 ) val ON val.label = g.label AND val.series = s.series""",
-    "top_k_score": q_top_k_score,
-    "top_k_index": q_top_k_index,
-    "first_n": q_first_n,
-    "bubble_dataset": q_bubble_dataset,
-    "scatter_dataset": q_scatter_dataset,
-    "row_counts": q_row_counts,
-    "schema_report": q_schema_report,
-    "profile_summary": q_profile_summary,
-    "employees_snapshot": q_employees_snapshot,
-    "dept_stats": q_dept_stats,
-    "dept_stats_events": q_dept_stats_events,
-    "report_table": q_report_table,
-    "run_metrics": q_run_metrics,
-}
-
-
-# ---------------------------------------------------------------- oracle SQL
-
-def _in(values) -> str:
-    return "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + ")"
-
-
-def _ok(*cols: str, floats=()) -> str:
-    """SQL form of ``na.drop``: no NULL, and no NaN in float columns."""
-    parts = [f"{c} IS NOT NULL" for c in cols] + [f"NOT isnan({c})" for c in floats]
-    return " AND ".join(parts)
-
-
-def _rollup_sql(name: str, select_measures: str, fact_from: str, key_year: str) -> str:
-    return f"""{name} AS (
-  SELECT coalesce(n.n_name, r.r_name, 'World') AS Entity,
-         CAST(year({key_year}) AS INTEGER) AS Year,
-         {select_measures}
-  FROM {fact_from}
-  JOIN region r ON n.n_regionkey = r.r_regionkey
-  GROUP BY GROUPING SETS ((n.n_name, r.r_name, year({key_year})), (r.r_name, year({key_year})), (year({key_year})))
-)"""
-
-
-ENT = _rollup_sql(
-    "ent",
-    """CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS v,
-         CAST(sum(CAST(c.c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS b,
-         count(*) AS pop""",
-    "orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey",
-    "o.o_orderdate",
-)
-IDX = _rollup_sql(
-    "idx",
-    "CAST(sum(CAST(l.l_quantity AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS q",
-    "lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey",
-    "l.l_shipdate",
-)
-ENT_C = f"""ent_c AS (
-  SELECT Entity AS Country, Year, v, b, pop FROM ent
-  WHERE Year = {YEAR} AND {_ok('Entity', 'Year', 'v', 'b', 'pop', floats=('v', 'b'))} AND Entity <> 'World'
-)"""
-IDX_C = f"""idx_c AS (
-  SELECT Entity AS Country, Year, q FROM idx
-  WHERE Year = {YEAR} AND {_ok('Entity', 'Year', 'q', floats=('q',))} AND Entity <> 'World'
-)"""
-COUNTRIES = f"(Country NOT IN {_in(GROUPS)} OR Country IN {_in(ALSO_COUNTRY)})"
-ENT_K = f"ent_k AS (SELECT * FROM ent_c WHERE {COUNTRIES})"
-IDX_K = f"idx_k AS (SELECT * FROM idx_c WHERE {COUNTRIES})"
-JOINED = """j AS (
-  SELECT e.Country, e.Year, e.v, e.b, e.pop, i.q FROM ent_k e JOIN idx_k i ON e.Country = i.Country
-)"""
-
-
-def _with(*ctes: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n"
-
-
-W_ENT_K = _with(ENT, ENT_C, ENT_K)
-W_J = _with(ENT, ENT_C, ENT_K, IDX, IDX_C, IDX_K, JOINED)
-
-EMP = """emp AS (
-  SELECT c_custkey AS id, c_name AS name, CAST(trunc(c_acctbal) AS BIGINT) AS salary, c_mktsegment AS department
-  FROM customer
-)"""
-DEPT = """dept AS (
-  SELECT department, CAST(sum(salary) AS BIGINT) AS total_salary, count(*) AS staff_count,
-         CAST(sum(salary) AS DOUBLE) / count(*) AS average_salary
-  FROM emp GROUP BY department
-)"""
-
-
-def _band_sql(col: str, table_name: str, edges, out: str) -> str:
-    parts = []
-    for name, lo, hi in edges:
-        conds = []
-        if lo is not None:
-            conds.append(f"{col} >= CAST({lo} AS DOUBLE)")
-        if hi is not None:
-            conds.append(f"{col} <= CAST({hi} AS DOUBLE)")
-        parts.append(f"SELECT '{name}' AS band, * FROM {table_name} WHERE {' AND '.join(conds)}")
-    return f"{out} AS (\n  " + "\n  UNION ALL ".join(parts) + "\n)"
-
-
-def _schema_sql() -> str:
-    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
-    counts = " UNION ALL ".join(f"SELECT '{c}' AS column_name, count({c}) AS non_null FROM orders" for c in cols)
-    return f"""WITH d AS (
-  SELECT column_name, column_type, "null" AS nul, row_number() OVER () AS pos FROM (DESCRIBE orders)
-), c AS ({counts})
-SELECT CAST(d.pos AS INTEGER) AS position, d.column_name,
-       CASE d.column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
-            WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(d.column_type) END AS data_type,
-       d.nul = 'YES' AS nullable, c.non_null
-FROM d JOIN c ON d.column_name = c.column_name"""
-
-
-def _profile_sql() -> str:
-    parts = []
-    for c in ["c_custkey", "c_nationkey", "c_acctbal"]:
-        x = f"CAST({c} AS DOUBLE)"
-        stats_ = [
-            ("count", f"CAST(count({x}) AS DOUBLE)"),
-            ("mean", f"round(avg({x}), 6)"),
-            ("stddev", f"round(stddev_samp({x}), 6)"),
-            ("min", f"min({x})"),
-            ("25%", f"quantile_disc({x}, 0.25)"),
-            ("50%", f"quantile_disc({x}, 0.5)"),
-            ("75%", f"quantile_disc({x}, 0.75)"),
-            ("max", f"max({x})"),
-        ]
-        for name, e in stats_:
-            parts.append(f"SELECT '{c}' AS column_name, '{name}' AS statistic, CAST({e} AS DOUBLE) AS value FROM customer")
-    return "\nUNION ALL ".join(parts)
-
-
-ORACLE_SQL: dict[str, str] = {
-    "scan_indicator": _with(ENT) + "SELECT Entity, Year, v, b, pop FROM ent",
-    "clean_indicator": _with(ENT, ENT_C) + "SELECT * FROM ent_c",
-    "quoted_columns": _with(ENT, ENT_C)
-    + 'SELECT Country, "v. $2.15 a day" AS share FROM (SELECT Country, v AS "v. $2.15 a day" FROM ent_c)',
-    "drop_nulls": """SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
-FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
-WHERE d.doc_id IS NOT NULL AND d.lang IS NOT NULL AND d.source IS NOT NULL AND d.n_chars IS NOT NULL
-  AND l.quality IS NOT NULL AND l.toxic IS NOT NULL""",
-    "exclude_groups": _with(ENT)
-    + f"""SELECT Entity AS Country, Year, v, b, pop FROM ent
-WHERE Year = {YEAR} AND {_ok('Entity', 'Year', 'v', 'b', 'pop', floats=('v', 'b'))} AND Entity NOT IN {_in(EXCLUDED)}""",
-    "group_rows": _with(ENT, ENT_C) + f"SELECT * FROM ent_c WHERE Country IN {_in(GROUPS)}",
-    "country_rows": W_ENT_K + "SELECT * FROM ent_k",
-    "override_value": W_ENT_K
-    + "SELECT Country, Year, CASE WHEN Country = 'NATION_5' THEN CAST(52.31 AS DOUBLE) ELSE v END AS v, b, pop FROM ent_k",
-    "bands": _with(_band_sql("l_discount", "lineitem", DISCOUNT_BANDS, "banded"))
-    + "SELECT band, count(*) AS n_rows FROM banded GROUP BY band",
-    "scalar_stats": """SELECT count(*) AS n,
-       quantile_cont(c_acctbal, 0.25) AS p25, median(c_acctbal) AS median, quantile_cont(c_acctbal, 0.75) AS p75,
-       CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / count(c_acctbal) AS mean
-FROM customer""",
-    "above_medians": W_ENT_K
-    + "SELECT Country, v, b FROM ent_k WHERE v > (SELECT median(v) FROM ent_k) AND b > (SELECT median(b) FROM ent_k)",
-    "above_means": W_ENT_K
-    + "SELECT Country, v, b FROM ent_k WHERE v > (SELECT avg(v) FROM ent_k) AND b > (SELECT avg(b) FROM ent_k)",
-    "lower_quartile": "SELECT c_custkey, c_name, c_acctbal FROM customer "
-    "WHERE c_acctbal <= (SELECT quantile_cont(c_acctbal, 0.25) FROM customer)",
-    "upper_quartile": "SELECT c_custkey, c_name, c_acctbal FROM customer "
-    "WHERE c_acctbal >= (SELECT quantile_cont(c_acctbal, 0.75) FROM customer)",
-    "quartile_and_mean": W_J
-    + "SELECT Country, q, v FROM j WHERE q >= (SELECT quantile_cont(q, 0.75) FROM j) AND v > (SELECT avg(v) FROM j)",
-    "subset_report": W_ENT_K
-    + """SELECT count(*) AS n, coalesce(string_agg(Country, ', ' ORDER BY Country), '') AS names FROM ent_k
-WHERE v > (SELECT median(v) FROM ent_k) AND b > (SELECT median(b) FROM ent_k)""",
-    "indicator_join": W_J + "SELECT * FROM j",
-    "reference_lines": W_ENT_K
-    + """SELECT Country, v, pop,
-       (SELECT quantile_cont(pop, 0.75) FROM ent_k) AS p75,
-       (SELECT quantile_cont(pop, 0.25) FROM ent_k) AS p25,
-       (SELECT avg(pop) FROM ent_k) AS mean
-FROM ent_k WHERE v <= (SELECT quantile_cont(v, 0.25) FROM ent_k)""",
-    "group_comparison": _with(ENT, ENT_C, IDX, IDX_C)
-    + f"""SELECT CAST(g.position AS INTEGER) AS position, g.label, g.series, val.value
-FROM (SELECT unnest(range({len(GROUPS)})) AS position, unnest({'[' + ', '.join("'" + x + "'" for x in GROUPS) + ']'}) AS label) g0
-JOIN (SELECT unnest(['v', 'q_x10']) AS series) s ON true
-JOIN (SELECT g0.position, g0.label, s.series) g ON true
-LEFT JOIN (
-  SELECT Country AS label, 'v' AS series, v AS value FROM ent_c WHERE Country IN {_in(GROUPS)}
-  UNION ALL SELECT Country AS label, 'q_x10' AS series, q * 10.0 AS value FROM idx_c WHERE Country IN {_in(GROUPS)}
-) val ON val.label = g.label AND val.series = g.series""",
     "top_k_score": W_J + "SELECT Country AS label, v AS value FROM j ORDER BY v DESC, Country LIMIT 10",
     "top_k_index": W_J + "SELECT Country AS label, q AS value FROM j ORDER BY q DESC, Country LIMIT 20",
     "first_n": W_J + "SELECT * FROM j ORDER BY Country LIMIT 9",
