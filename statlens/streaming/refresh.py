@@ -1,10 +1,18 @@
 """Periodic full refresh as a Structured Streaming query.
 
-The reference re-runs the snapshot job every minute on a fixed file.  Here
-new snapshot files landing in a directory drive the job: a file source reads
-one file per micro-batch (``maxFilesPerTrigger=1``), and ``foreachBatch``
-runs the batch chain of ``snapshot_job`` on it, so after each batch the
-tables hold the statistics of exactly that snapshot.
+The reference re-runs the snapshot job every minute on a fixed file, with
+no backfill of missed runs.  Here new snapshot files landing in a directory
+drive the job through a file source and ``foreachBatch``, which runs the
+batch chain of ``snapshot_job``:
+
+* ``backfill=False`` (default, the reference's behaviour): a micro-batch
+  takes every new file but loads only the newest snapshot in it (latest
+  ``_metadata.file_modification_time``, then path), so older snapshots that
+  arrived in the same interval are skipped.
+* ``backfill=True``: one file per micro-batch (``maxFilesPerTrigger=1``), in
+  arrival order, so every snapshot is published in turn.
+
+After each batch the tables hold the statistics of exactly one snapshot.
 
 The work is stateless (every batch overwrites the tables), so a batch that
 is replayed after a failure produces the same tables; the metrics of a batch
@@ -18,6 +26,7 @@ where it stopped after a driver restart.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from statlens.operators.dept import employees
@@ -27,14 +36,25 @@ from statlens.sources.employees import EMPLOYEES_RAW_SCHEMA
 from statlens.sources.tables import EmptySnapshotError
 
 
-def snapshot_stream(spark: SparkSession, snapshot_dir: str) -> DataFrame:
-    """Streaming frame of snapshot rows, one file per micro-batch."""
-    return (spark.readStream
-            .schema(EMPLOYEES_RAW_SCHEMA)
-            .option("header", True)
-            .option("mode", "FAILFAST")
-            .option("maxFilesPerTrigger", 1)
-            .csv(snapshot_dir))
+def snapshot_stream(spark: SparkSession, snapshot_dir: str, backfill: bool = False) -> DataFrame:
+    """Streaming frame of snapshot rows with their file's path and modification time."""
+    reader = (spark.readStream
+              .schema(EMPLOYEES_RAW_SCHEMA)
+              .option("header", True)
+              .option("mode", "FAILFAST"))
+    if backfill:
+        reader = reader.option("maxFilesPerTrigger", 1)
+    return reader.csv(snapshot_dir).select(
+        "*",
+        F.col("_metadata.file_modification_time").alias("_file_time"),
+        F.col("_metadata.file_path").alias("_file_path"),
+    )
+
+
+def newest_snapshot(batch: DataFrame) -> DataFrame:
+    """Rows of the newest file in a micro-batch (latest modification time, then path)."""
+    newest = batch.agg(F.max_by("_file_path", F.struct("_file_time", "_file_path")).alias("p"))
+    return batch.where(F.col("_file_path") == newest.select("p").scalar())
 
 
 def start_refresh(
@@ -44,6 +64,7 @@ def start_refresh(
     name: str = "snapshot_refresh",
     interval: str | None = "1 minute",
     available_now: bool = False,
+    backfill: bool = False,
     run_name: str = DEFAULT_RUN_NAME,
     params: dict[str, str] | None = None,
     checkpoint: str | None = None,
@@ -51,19 +72,21 @@ def start_refresh(
     """Start the refresh query.
 
     ``interval`` is the processing-time trigger (the reference's one
-    minute); ``available_now=True`` processes every waiting file, one batch
-    each, and stops (used in tests and for catch-up runs).
+    minute); ``available_now=True`` processes what is waiting and stops
+    (tests, catch-up runs): the newest snapshot, or with ``backfill=True``
+    every snapshot in turn.  A snapshot with no rows is skipped (Q9).
     """
     params = params or DEFAULT_PARAMS
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
+        rows = batch if backfill else newest_snapshot(batch)
         try:
-            run_snapshot_job(batch.sparkSession, employees(batch), root,
+            run_snapshot_job(batch.sparkSession, employees(rows), root,
                              run_id=f"batch-{epoch_id:08d}", run_name=run_name, params=params)
         except EmptySnapshotError:
             pass
 
-    writer = (snapshot_stream(spark, snapshot_dir).writeStream
+    writer = (snapshot_stream(spark, snapshot_dir, backfill).writeStream
               .queryName(name)
               .foreachBatch(each_batch)
               .option("checkpointLocation", checkpoint or f"{checkpoint_root(spark)}/{name}"))

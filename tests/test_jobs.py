@@ -69,7 +69,7 @@ def test_streaming_refresh(spark, tmp_path):
     # The checkpoint goes under the session's spark.checkpoint.dir; a fresh
     # query name per run keeps runs apart.
     name = f"refresh_test_{uuid.uuid4().hex[:12]}"
-    q = start_refresh(spark, str(incoming), root, name=name, available_now=True)
+    q = start_refresh(spark, str(incoming), root, name=name, available_now=True, backfill=True)
     q.awaitTermination(300)
     assert q.exception() is None
     # The empty snapshot was skipped: tables hold the last non-empty one.
@@ -79,3 +79,23 @@ def test_streaming_refresh(spark, tmp_path):
     # Each batch published the statistics of its own snapshot only.
     # rows 1-10 cover all five departments, rows 1-3 three of them.
     assert sorted(per_run.values()) == sorted([2 * 5, 2 * 3, 2 * 5])
+
+
+def test_streaming_refresh_latest_only(spark, tmp_path):
+    incoming = tmp_path / "incoming"
+    incoming.mkdir()
+    lines = EMPLOYEES_CSV.strip().split("\n")
+    header, body = lines[0], lines[1:]
+    for i, b in enumerate([body, body[:3], body[:10]]):   # the newest file is rows 1-10
+        p = incoming / f"snap_{i}.csv"
+        p.write_text("\n".join([header, *b]) + "\n")
+        os.utime(p, (1_700_000_000 + i, 1_700_000_000 + i))
+    root = str(tmp_path / "tables")
+    q = start_refresh(spark, str(incoming), root, name=f"refresh_latest_{uuid.uuid4().hex[:12]}",
+                      available_now=True)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    # No backfill: one batch, holding only the newest snapshot.
+    assert spark.read.parquet(TablePaths(root).employees).count() == 10
+    metrics = spark.read.parquet(TablePaths(root).metrics)
+    assert metrics.select("run_id").distinct().count() == 1
