@@ -141,14 +141,15 @@ def quartile_and_mean(
 ) -> DataFrame:
     """Upper-quantile rows of one column that also exceed another column's mean.
 
-    Both statistics are of the full frame, not of the subset (Q16).
+    Both statistics are of the full frame, not of the subset (Q16), and come
+    from one aggregate (one scalar subquery).
     """
     require_columns(df, [quartile_col, mean_col])
-    qstats = scalar_stats(df, [quartile_col], probs=[p], method=method)
-    mstats = scalar_stats(df, [mean_col], probs=[], mean_scale=mean_scale, method="exact")
+    cols = [quartile_col] if quartile_col == mean_col else [quartile_col, mean_col]
+    stats = scalar_stats(df, cols, probs=[p], mean_scale=mean_scale, method=method)
     return df.where(
-        (qcol(quartile_col) >= stat(qstats, f"{quartile_col}_{stat_name(p)}"))
-        & (qcol(mean_col) > stat(mstats, f"{mean_col}_mean"))
+        (qcol(quartile_col) >= stat(stats, f"{quartile_col}_{stat_name(p)}"))
+        & (qcol(mean_col) > stat(stats, f"{mean_col}_mean"))
     )
 
 
