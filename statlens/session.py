@@ -18,6 +18,9 @@ from pyspark.sql import SparkSession
 PLAN_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Coalesce small shuffle partitions up to the advisory size rather than
+    # keeping one task per core (recommended by Spark for busy clusters).
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
