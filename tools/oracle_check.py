@@ -34,7 +34,7 @@ def _norm(v):
     if isinstance(v, bool):
         return (4, str(v))
     if isinstance(v, int):
-        return (2, repr(float(v))) if False else (5, str(v))
+        return (5, str(v))
     return (6, str(v))
 
 
