@@ -94,6 +94,9 @@ def poverty_results(pov: DataFrame) -> dict[str, DataFrame]:
     medians = subset.above_medians(pov, [LIFE, POVERTY], method=M)
     out["above_medians"] = medians
     out["above_medians_report"] = subset.subset_report(medians, COUNTRY)
+    out["above_medians_bubbles"] = charts.bubble_dataset(
+        medians, COUNTRY, POVERTY, LIFE, POPULATION, charts.BAND_BUBBLE_DIVISOR
+    )
     means = subset.above_means(pov, [LIFE, POVERTY])
     out["above_means"] = means
     out["above_means_report"] = subset.subset_report(means, COUNTRY)

@@ -199,3 +199,11 @@ def test_nan_counts_as_missing(spark):
     df = spark.createDataFrame([("A", float("nan")), ("B", 1.0)], "Country string, v double")
     assert _names(clean.drop_nulls(df)) == ["B"]
     assert not math.isnan(clean.drop_nulls(df).first()["v"])
+
+
+def test_every_result_runs(results):
+    assert len(results) == 36
+    for name, df in results.items():
+        rows = df.collect()
+        assert isinstance(rows, list), name
+    assert {r["label"] for r in results["above_medians_bubbles"].collect()} == set(_names(results["above_medians"]))
