@@ -59,6 +59,10 @@ class TablePaths:
     def metrics(self) -> str:
         return f"{self.root}/run_metrics"
 
+    @property
+    def rejected(self) -> str:
+        return f"{self.root}/rejected_snapshots"
+
 
 def load_snapshot(spark: SparkSession, snapshot: DataFrame, paths: TablePaths) -> DataFrame:
     """Validate a snapshot by writing it to staging, then replace the employee table (K1)."""

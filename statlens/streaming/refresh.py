@@ -17,20 +17,26 @@ After each batch the tables hold the statistics of exactly one snapshot.
 The work is stateless (every batch overwrites the tables), so a batch that
 is replayed after a failure produces the same tables; the metrics of a batch
 are written under its own run id with dynamic partition overwrite, so a
-replay does not duplicate them.  An empty snapshot file is skipped and the
-tables keep the previous snapshot (Q9).  The stream's checkpoint lives
+replay does not duplicate them.  An empty snapshot is skipped and the
+tables keep the previous snapshot (Q9).  A malformed snapshot (bad salary,
+bad row) fails only its own batch's job: the tables keep the previous
+snapshot, the batch is recorded in the ``rejected_snapshots`` table with the
+reason, and the stream goes on (the reference's scheduler would likewise
+fail that run and try again a minute later).  The stream's checkpoint lives
 under ``spark.checkpoint.dir`` (a shared folder), so the query resumes
 where it stopped after a driver restart.
 """
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from statlens.operators.dept import employees
-from statlens.plans.snapshot_job import DEFAULT_PARAMS, DEFAULT_RUN_NAME, run_snapshot_job
+from statlens.plans.snapshot_job import DEFAULT_PARAMS, DEFAULT_RUN_NAME, TablePaths, run_snapshot_job
 from statlens.session import checkpoint_root
 from statlens.sources.employees import EMPLOYEES_RAW_SCHEMA
 from statlens.sources.tables import EmptySnapshotError
@@ -57,6 +63,14 @@ def newest_snapshot(batch: DataFrame) -> DataFrame:
     return batch.where(F.col("_file_path") == newest.select("p").scalar())
 
 
+def record_rejection(spark: SparkSession, root: str, run_id: str, reason: str) -> None:
+    """One row in ``rejected_snapshots``: the batch and the first line of the error."""
+    first_line = (reason.strip().splitlines() or [""])[0][:2000]
+    (spark.createDataFrame([(run_id, first_line)], "run_id string, reason string")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id").parquet(TablePaths(root.rstrip("/")).rejected))
+
+
 def start_refresh(
     spark: SparkSession,
     snapshot_dir: str,
@@ -79,12 +93,15 @@ def start_refresh(
     params = params or DEFAULT_PARAMS
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
-        rows = batch if backfill else newest_snapshot(batch)
+        session = batch.sparkSession
+        run_id = f"batch-{epoch_id:08d}"
         try:
-            run_snapshot_job(batch.sparkSession, employees(rows), root,
-                             run_id=f"batch-{epoch_id:08d}", run_name=run_name, params=params)
+            rows = batch if backfill else newest_snapshot(batch)
+            run_snapshot_job(session, employees(rows), root, run_id=run_id, run_name=run_name, params=params)
         except EmptySnapshotError:
             pass
+        except (PySparkException, Py4JJavaError) as err:
+            record_rejection(session, root, run_id, str(err))
 
     writer = (snapshot_stream(spark, snapshot_dir, backfill).writeStream
               .queryName(name)

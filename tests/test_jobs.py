@@ -99,3 +99,22 @@ def test_streaming_refresh_latest_only(spark, tmp_path):
     assert spark.read.parquet(TablePaths(root).employees).count() == 10
     metrics = spark.read.parquet(TablePaths(root).metrics)
     assert metrics.select("run_id").distinct().count() == 1
+
+
+def test_streaming_refresh_rejects_bad_snapshot(spark, tmp_path):
+    incoming = tmp_path / "incoming"
+    incoming.mkdir()
+    good = incoming / "snap_0.csv"
+    good.write_text(EMPLOYEES_CSV)
+    os.utime(good, (1_700_000_000, 1_700_000_000))
+    bad = incoming / "snap_1.csv"
+    bad.write_text("id,name,salary,department\n1,a,abc,x\n")
+    os.utime(bad, (1_700_000_001, 1_700_000_001))
+    root = str(tmp_path / "tables")
+    q = start_refresh(spark, str(incoming), root, name=f"refresh_bad_{uuid.uuid4().hex[:12]}",
+                      available_now=True, backfill=True)
+    q.awaitTermination(300)
+    assert q.exception() is None                    # the stream survives the bad snapshot
+    assert _stats(spark, root) == EMPLOYEES_STATS   # tables keep the good snapshot
+    rejected = spark.read.parquet(TablePaths(root).rejected).collect()
+    assert len(rejected) == 1 and "'abc'" in rejected[0]["reason"]
