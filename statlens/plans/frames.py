@@ -19,13 +19,13 @@ Plan, chosen for 100 TB inputs:
    aggregation in the scan tasks collapses a hot customer or supplier (one
    key with a third of all rows) into one row per task, and the join input
    shrinks to at most one row per key and year.
-3. The joins to the dimension tables are equi-joins left to Catalyst/AQE:
-   ``nation`` and ``region`` are fixed-size and are broadcast from their
-   measured size, the customer/supplier join is sort-merge when that side is
-   large.  Sums are exact DECIMALs, so the pre-aggregation changes no bit of
-   the result.
-4. The nation/region/World rollup (grouping sets) runs on the per-nation
-   result (a few rows per nation and year), not on the fact rows.
+3. The customer/supplier join is an equi-join left to Catalyst/AQE
+   (broadcast when that side is measured small, sort-merge otherwise), and
+   the result is aggregated per (nation key, year) right away.  Sums are
+   exact DECIMALs, so the pre-aggregation changes no bit of the result.
+4. ``nation`` and ``region`` are joined to those per-nation rows (a few per
+   nation and year), never to fact rows, and the nation/region/World rollup
+   (grouping sets) runs on them too.
 """
 
 from __future__ import annotations
@@ -48,11 +48,17 @@ def _year_range(df: DataFrame, column: str, year: int | None) -> DataFrame:
     return df.where(f"{column} >= {lo} AND {column} < {hi}")
 
 
-def _dims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``n_nationkey, n_name, r_name``: the two fixed-size dimension tables."""
+def _with_names(spark: SparkSession, sf_dir: str, per_nationkey: DataFrame) -> DataFrame:
+    """Name the per-(nation key, year) rows: join ``nation`` and ``region``.
+
+    The joins run on the aggregated rows (a few per nation and year), not on
+    the fact rows, so the dimension tables never meet the large side.
+    """
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    return nation.join(region, F.expr("n_regionkey = r_regionkey")).selectExpr("n_nationkey", "n_name", "r_name")
+    return (per_nationkey.join(nation, F.expr("nationkey = n_nationkey"))
+            .join(region, F.expr("n_regionkey = r_regionkey"))
+            .drop("nationkey", "n_nationkey", "n_regionkey", "r_regionkey", "n_comment", "r_comment"))
 
 
 def _rollup(per_nation: DataFrame, measures: list[str], finals: list[str]) -> DataFrame:
@@ -79,12 +85,12 @@ def entity_frame(spark: SparkSession, sf_dir: str, year: int | None = None) -> D
     customer = table(spark, sf_dir, "customer").selectExpr(
         "c_custkey", "c_nationkey", f"CAST(c_acctbal AS {MONEY}) AS acct"
     )
-    per_nation = (
+    per_nationkey = (
         per_customer.join(customer, F.expr("o_custkey = c_custkey"))
-        .join(_dims(spark, sf_dir), F.expr("c_nationkey = n_nationkey"))
-        .groupBy("n_name", "r_name", "Year")
+        .groupBy(F.col("c_nationkey").alias("nationkey"), "Year")
         .agg(F.expr("sum(s_price) AS s_price"), F.expr("sum(acct * n) AS s_acct"), F.expr("sum(n) AS n"))
     )
+    per_nation = _with_names(spark, sf_dir, per_nationkey)
     return _rollup(per_nation, ["s_price", "s_acct", "n"], [
         "CAST(s_price AS DOUBLE) / n AS v", "CAST(s_acct AS DOUBLE) / n AS b", "n AS pop",
     ])
@@ -95,10 +101,10 @@ def index_frame(spark: SparkSession, sf_dir: str, year: int | None = None) -> Da
     lines = _year_range(table(spark, sf_dir, "lineitem"), "l_shipdate", year)
     per_supplier = _per_key_year(lines, "l_suppkey", "l_shipdate", "l_quantity", "s_qty")
     supplier = table(spark, sf_dir, "supplier").selectExpr("s_suppkey", "s_nationkey")
-    per_nation = (
+    per_nationkey = (
         per_supplier.join(supplier, F.expr("l_suppkey = s_suppkey"))
-        .join(_dims(spark, sf_dir), F.expr("s_nationkey = n_nationkey"))
-        .groupBy("n_name", "r_name", "Year")
+        .groupBy(F.col("s_nationkey").alias("nationkey"), "Year")
         .agg(F.expr("sum(s_qty) AS s_qty"), F.expr("sum(n) AS n"))
     )
+    per_nation = _with_names(spark, sf_dir, per_nationkey)
     return _rollup(per_nation, ["s_qty", "n"], ["CAST(s_qty AS DOUBLE) / n AS q"])
