@@ -61,3 +61,22 @@ def test_scalar_stats_methods_agree(spark):
 def test_no_single_partition_percentile(spark):
     p = scalar_stats(table(spark, SF01, "customer"), ["c_acctbal"])._jdf.queryExecution().executedPlan().toString()
     assert "percentile(" not in p and "rangepartitioning" in p
+
+
+def test_approx_method_returns_elements(spark):
+    cust = table(spark, SF01, "customer")
+    st = scalar_stats(cust, ["c_acctbal"], probs=[0.25, 0.5], method="approx").first()
+    values = {r[0] for r in cust.select("c_acctbal").collect()}
+    assert st["c_acctbal_p25"] in values and st["c_acctbal_median"] in values
+
+
+def test_with_stats_attaches_one_row(spark):
+    from statlens.operators.stats import with_stats
+
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,)], "x double")
+    st = scalar_stats(df, ["x"], probs=[0.5], method="exact")
+    rows = with_stats(df, st, ["x_median", "x_mean"]).collect()
+    assert len(rows) == 4
+    assert {(r["x_median"], r["x_mean"]) for r in rows} == {(2.5, 4.0)}
+    plan = with_stats(df, st)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
