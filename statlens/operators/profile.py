@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from statlens.functions.columns import qcol, require_columns
+from statlens.functions.columns import qcol, quote, require_columns, sql_str
 
 PROFILE_STATS = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
 
@@ -23,16 +23,12 @@ PROFILE_STATS = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
 def schema_report(df: DataFrame) -> DataFrame:
     """``position, column_name, data_type, nullable, non_null`` per column."""
     items = [
-        F.struct(
-            F.lit(i + 1).alias("position"),
-            F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("data_type"),
-            F.lit(f.nullable).alias("nullable"),
-            F.count(qcol(f.name)).alias("non_null"),
-        )
+        f"named_struct('position', {i + 1}, 'column_name', {sql_str(f.name)}, "
+        f"'data_type', {sql_str(f.dataType.simpleString())}, 'nullable', {str(f.nullable).lower()}, "
+        f"'non_null', count({quote(f.name)}))"
         for i, f in enumerate(df.schema.fields)
     ]
-    return df.agg(F.array(*items).alias("r")).select(F.inline("r"))
+    return df.agg(F.expr(f"array({', '.join(items)})").alias("r")).select(F.inline("r"))
 
 
 def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
@@ -70,17 +66,16 @@ def profile(
     require_columns(df, cols)
     items = []
     for c in cols:
-        x = qcol(c).cast("double")
-        q = F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy)
-        mean = F.avg(x)
-        sd = F.stddev_samp(x)
+        x = f"CAST({quote(c)} AS DOUBLE)"
+        q = f"percentile_approx({x}, array(0.25D, 0.5D, 0.75D), {int(accuracy)})"
+        mean, sd = f"avg({x})", f"stddev_samp({x})"
         if round_to is not None:
-            mean, sd = F.round(mean, round_to), F.round(sd, round_to)
-        values = [F.count(x).cast("double"), mean, sd, F.min(x), q[0], q[1], q[2], F.max(x)]
+            mean, sd = f"round({mean}, {int(round_to)})", f"round({sd}, {int(round_to)})"
+        values = [f"count({x})", mean, sd, f"min({x})", f"{q}[0]", f"{q}[1]", f"{q}[2]", f"max({x})"]
         for name, v in zip(PROFILE_STATS, values):
-            items.append(F.struct(F.lit(c).alias("column_name"), F.lit(name).alias("statistic"),
-                                  v.cast("double").alias("value")))
-    return df.agg(F.array(*items).alias("r")).select(F.inline("r"))
+            items.append(f"named_struct('column_name', {sql_str(c)}, 'statistic', {sql_str(name)}, "
+                         f"'value', CAST({v} AS DOUBLE))")
+    return df.agg(F.expr(f"array({', '.join(items)})").alias("r")).select(F.inline("r"))
 
 
 def summary_strings(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
