@@ -6,10 +6,12 @@ with their reports, the joined frame, rankings and the continent
 comparison.  Nothing is collected; a caller materialises the results it
 needs (all of them are small: one row per country, or fewer).
 
-Shared inputs (the three cleaned frames) are plain lazy plans.  A caller
-that materialises many results can ``persist()`` them or write them out
-first; at the size of an indicator file (one row per country and year)
-re-reading is cheaper than caching.
+Shared inputs (the cleaned frames) are plain lazy plans by default, so each
+materialised result re-reads and re-cleans the CSV files.  With
+``stage_dir`` (a shared folder, for example under ``spark.checkpoint.dir``)
+the cleaned frames are written once as parquet tables and read back: the
+lineage is cut there, a lost executor recomputes from those tables, and
+every result scans small parquet files instead of parsing CSV again.
 """
 
 from __future__ import annotations
@@ -161,6 +163,7 @@ def indicator_analysis(
     poverty_life_path: str,
     corruption_path: str,
     year: int = DEFAULT_YEAR,
+    stage_dir: str | None = None,
 ) -> dict[str, DataFrame]:
     """Every result of the analysis, by name, from the three indicator CSVs."""
     frames = clean_frames(
@@ -169,6 +172,13 @@ def indicator_analysis(
         read_indicator(spark, corruption_path, "corruption"),
         year,
     )
+    if stage_dir:
+        staged = {}
+        for name, df in frames.items():
+            path = f"{stage_dir.rstrip('/')}/{name}"
+            df.write.mode("overwrite").parquet(path)
+            staged[name] = spark.read.parquet(path)
+        frames = staged
     out = dict(frames)
     out.update(poverty_results(frames["poverty_life"]))
     out.update(corruption_results(frames["ladder"], frames["corruption"],
