@@ -28,10 +28,22 @@ def sql_str(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def sql_literal(value) -> str:
+    """A SQL literal: strings quoted, floats as exact DOUBLEs (not DECIMALs)."""
+    if isinstance(value, str):
+        return sql_str(value)
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    if isinstance(value, float):
+        return f"CAST('{value!r}' AS DOUBLE)"
+    if isinstance(value, int):
+        return str(value)
+    raise TypeError(f"unsupported literal {value!r}")
+
+
 def sql_in(column: str, values) -> str:
-    """``column IN (...)`` over string or numeric literals."""
-    items = ", ".join(sql_str(v) if isinstance(v, str) else repr(v) for v in values)
-    return f"{quote(column)} IN ({items})"
+    """``column IN (...)`` over literals."""
+    return f"{quote(column)} IN ({', '.join(sql_literal(v) for v in values)})"
 
 
 def require_columns(df: DataFrame, names) -> None:

@@ -37,6 +37,8 @@ def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     For a parquet scan ``count`` reads no column data (row-group metadata and
     an empty projection).
     """
+    if not frames:
+        raise ValueError("row_counts needs at least one frame")
     parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
              for name, df in frames.items()]
     out = parts[0]

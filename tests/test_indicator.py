@@ -218,3 +218,11 @@ def test_staged_frames_give_same_results(spark, tmp_path_factory, results):
         assert a == b, name
     plan = staged["joined"]._jdf.queryExecution().executedPlan().toString()
     assert "Format: Parquet" in plan and "Format: CSV" not in plan
+
+
+def test_label_filter_literals(spark):
+    df = spark.createDataFrame([(0.1, 1), (0.2, 2), (0.30000000000000004, 3)], "v double, k int")
+    assert [r["k"] for r in clean.group_rows(df, "v", [0.1, 0.1 + 0.2]).orderBy("k").collect()] == [1, 3]
+    assert [r["k"] for r in clean.exclude_groups(df, "k", [2]).orderBy("k").collect()] == [1, 3]
+    quoted = spark.createDataFrame([("it's",), ("a\\\\b",), ("x",)], "c string")
+    assert _names(clean.group_rows(quoted, "c", ["it's", "a\\\\b"]), "c") == ["a\\\\b", "it's"]
