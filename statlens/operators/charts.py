@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from statlens.functions.columns import qcol, require_columns, rescale
 from statlens.operators.rank import top_k
