@@ -8,19 +8,23 @@ needs (all of them are small: one row per country, or fewer).
 
 Shared inputs (the cleaned frames) are plain lazy plans by default, so each
 materialised result re-reads and re-cleans the CSV files.  With
-``stage_dir`` (a shared folder, for example under ``spark.checkpoint.dir``)
-the cleaned frames are written once as parquet tables and read back: the
-lineage is cut there, a lost executor recomputes from those tables, and
-every result scans small parquet files instead of parsing CSV again.
+``stage_dir`` (a shared folder; ``"checkpoint"`` means a fresh folder under
+the session's ``spark.checkpoint.dir``) the cleaned frames are written once
+as parquet tables and read back: the lineage is cut there, a lost executor
+recomputes from those tables, and every result scans small parquet files
+instead of parsing CSV again.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from statlens.functions.columns import override_value
 from statlens.operators import charts, clean, combine, profile, rank, subset
 from statlens.operators.clean import CONTINENT_ALSO_COUNTRY, CONTINENTS, DEFAULT_YEAR, INCOME_GROUPS
+from statlens.session import checkpoint_root
 from statlens.sources.indicator import read_indicator
 
 # Fixed values from the reference analysis: column names after renaming.
@@ -172,6 +176,8 @@ def indicator_analysis(
         read_indicator(spark, corruption_path, "corruption"),
         year,
     )
+    if stage_dir == "checkpoint":
+        stage_dir = f"{checkpoint_root(spark)}/statlens-analysis-{uuid.uuid4().hex}"
     if stage_dir:
         staged = {}
         for name, df in frames.items():

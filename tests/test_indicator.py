@@ -211,13 +211,14 @@ def test_every_result_runs(results):
 
 def test_staged_frames_give_same_results(spark, tmp_path_factory, results):
     paths = write_indicator_files(str(tmp_path_factory.mktemp("indicators_staged")))
-    staged = indicator_analysis(spark, *paths, year=2021, stage_dir=str(tmp_path_factory.mktemp("stage")))
+    staged = indicator_analysis(spark, *paths, year=2021, stage_dir="checkpoint")
     for name in ("joined", "above_medians_report", "top_10_ladder", "high_corruption_high_ladder", "continents"):
         a = sorted(tuple(r) for r in results[name].collect())
         b = sorted(tuple(r) for r in staged[name].collect())
         assert a == b, name
     plan = staged["joined"]._jdf.queryExecution().executedPlan().toString()
     assert "Format: Parquet" in plan and "Format: CSV" not in plan
+    assert "statlens-analysis-" in plan     # staged under the session's spark.checkpoint.dir
 
 
 def test_label_filter_literals(spark):
