@@ -190,3 +190,31 @@ def indicator_analysis(
     out.update(corruption_results(frames["ladder"], frames["corruption"],
                                   frames["ladder_continents"], frames["corruption_continents"]))
     return out
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m statlens.plans.analysis LADDER POVERTY_LIFE CORRUPTION OUT [--year Y]``.
+
+    Writes every result as a parquet table ``OUT/<name>``; the cleaned frames
+    are staged under ``spark.checkpoint.dir`` first, so the CSVs are parsed once.
+    """
+    import argparse
+
+    from statlens.session import build_session
+
+    ap = argparse.ArgumentParser(description="indicator analysis over three indicator CSVs")
+    ap.add_argument("ladder")
+    ap.add_argument("poverty_life")
+    ap.add_argument("corruption")
+    ap.add_argument("out")
+    ap.add_argument("--year", type=int, default=DEFAULT_YEAR)
+    args = ap.parse_args(argv)
+    spark = build_session()
+    results = indicator_analysis(spark, args.ladder, args.poverty_life, args.corruption,
+                                 year=args.year, stage_dir="checkpoint")
+    for name, df in results.items():
+        df.write.mode("overwrite").parquet(f"{args.out.rstrip('/')}/{name}")
+
+
+if __name__ == "__main__":
+    main()

@@ -122,3 +122,23 @@ def run_snapshot_job(
     stats = compute_stats(spark, paths)
     publish(spark, paths, run_id, run_name, params)
     return stats
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m statlens.plans.snapshot_job SNAPSHOT_CSV ROOT [--run-id ID]``."""
+    import argparse
+
+    from statlens.session import build_session
+
+    ap = argparse.ArgumentParser(description="snapshot -> department statistics -> report and metrics")
+    ap.add_argument("snapshot", help="employee snapshot CSV (id,name,salary,department)")
+    ap.add_argument("root", help="shared folder holding the tables")
+    ap.add_argument("--run-id", default=None)
+    ap.add_argument("--run-name", default=DEFAULT_RUN_NAME)
+    args = ap.parse_args(argv)
+    spark = build_session()
+    run_snapshot_job(spark, args.snapshot, args.root, run_id=args.run_id, run_name=args.run_name)
+
+
+if __name__ == "__main__":
+    main()

@@ -112,3 +112,26 @@ def start_refresh(
     elif interval:
         writer = writer.trigger(processingTime=interval)
     return writer.start()
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m statlens.streaming.refresh SNAPSHOT_DIR ROOT [--interval I] [--available-now] [--backfill]``."""
+    import argparse
+
+    from statlens.session import build_session
+
+    ap = argparse.ArgumentParser(description="refresh department statistics whenever a snapshot lands")
+    ap.add_argument("snapshot_dir")
+    ap.add_argument("root")
+    ap.add_argument("--interval", default="1 minute")
+    ap.add_argument("--available-now", action="store_true")
+    ap.add_argument("--backfill", action="store_true")
+    args = ap.parse_args(argv)
+    spark = build_session()
+    q = start_refresh(spark, args.snapshot_dir, args.root, interval=args.interval,
+                      available_now=args.available_now, backfill=args.backfill)
+    q.awaitTermination()
+
+
+if __name__ == "__main__":
+    main()

@@ -118,3 +118,18 @@ def test_streaming_refresh_rejects_bad_snapshot(spark, tmp_path):
     assert _stats(spark, root) == EMPLOYEES_STATS   # tables keep the good snapshot
     rejected = spark.read.parquet(TablePaths(root).rejected).collect()
     assert len(rejected) == 1 and "'abc'" in rejected[0]["reason"]
+
+
+def test_command_line_snapshot_job(tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    repo = Path(__file__).resolve().parent.parent
+    csv = tmp_path / "snap.csv"
+    csv.write_text(EMPLOYEES_CSV)
+    root = tmp_path / "tables"
+    res = subprocess.run([sys.executable, "-m", "statlens.plans.snapshot_job", str(csv), str(root), "--run-id", "cli"],
+                         cwd=repo, capture_output=True, text=True, timeout=600)
+    assert res.returncode == 0, res.stderr[-2000:]
+    assert (root / "department_stats").exists() and (root / "run_metrics" / "run_id=cli").exists()
