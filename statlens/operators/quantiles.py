@@ -34,10 +34,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statlens.functions.columns import qcol, quote, require_columns
+from statlens.functions.columns import quote, require_columns
 
 
 def _parts_default(df: DataFrame) -> int:
@@ -51,10 +51,8 @@ def value_histogram(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     row count can be read from the histogram.
     """
     require_columns(df, cols)
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("k"), qcol(c).cast("double").alias("x")) for i, c in enumerate(cols)
-    ])).alias("e"))
-    return stacked.groupBy(F.col("e.k").alias("k"), F.col("e.x").alias("x")).agg(F.count(F.lit(1)).alias("c"))
+    items = ", ".join(f"named_struct('k', {i}, 'x', CAST({quote(c)} AS DOUBLE))" for i, c in enumerate(cols))
+    return df.selectExpr(f"inline(array({items}))").groupBy("k", "x").agg(F.expr("count(1) AS c"))
 
 
 def distributed_stats(
@@ -76,21 +74,20 @@ def distributed_stats(
     names = list(names) if names is not None else [f"q{j}" for j in range(len(probs))]
     parts = parts or _parts_default(df)
     hist = value_histogram(df, cols)
-    parts_u = [hist.select(F.lit("h").alias("src"), "k", F.lit(None).cast("int").alias("j"),
-                           F.lit(None).cast("string").alias("which"), "x", "c",
-                           F.lit(None).cast("long").alias("n"))]
+    parts_u = [hist.selectExpr("'h' AS src", "k", "CAST(NULL AS INT) AS j", "CAST(NULL AS STRING) AS which",
+                               "x", "c", "CAST(NULL AS BIGINT) AS n")]
 
     if probs:
-        values = hist.where(F.col("x").isNotNull())
+        values = hist.where("x IS NOT NULL")
         ranges = (values.repartitionByRange(parts, "k", "x")
-                  .groupBy(F.spark_partition_id().alias("pid"), "k")
-                  .agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("c").alias("cnt")))
+                  .groupBy(F.spark_partition_id().alias("pid"), F.col("k"))
+                  .agg(F.expr("min(x) AS lo"), F.expr("max(x) AS hi"), F.expr("sum(c) AS cnt")))
         # At most parts + len(cols) rows: the running sums are bounded.
-        w = Window.partitionBy("k").orderBy("lo").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ranges = ranges.select(
+        ranges = ranges.selectExpr(
             "k", "lo", "hi", "cnt",
-            (F.sum("cnt").over(w) - F.col("cnt")).alias("before"),
-            F.sum("cnt").over(Window.partitionBy("k")).alias("n"),
+            "sum(cnt) OVER (PARTITION BY k ORDER BY lo ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - cnt"
+            " AS before",
+            "sum(cnt) OVER (PARTITION BY k) AS n",
         )
         # Target placement as one SQL expression (built once, parsed in the JVM).
         targets = []
@@ -110,15 +107,15 @@ def distributed_stats(
         plan = ranges.agg(F.flatten(F.collect_list(placed)).alias("ts")).scalar()
 
         tagged = (values.select("k", "x", "c", F.explode(plan).alias("t"))
-                  .where((F.col("t.k") == F.col("k")) & (F.col("x") >= F.col("t.lo"))
-                         & (F.col("x") <= F.col("t.hi"))))
-        wt = (Window.partitionBy(F.col("t.k"), F.col("t.j"), F.col("t.which")).orderBy("x")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        walked = tagged.select("x", "c", "t", (F.col("t.before") + F.sum("c").over(wt)).alias("upto"))
-        hits = walked.where((F.col("upto") - F.col("c") <= F.col("t.rank")) & (F.col("t.rank") < F.col("upto")))
-        parts_u.append(hits.select(
-            F.lit("q").alias("src"), F.col("t.k").alias("k"), F.col("t.j").alias("j"),
-            F.col("t.which").alias("which"), "x", F.lit(None).cast("long").alias("c"), F.col("t.n").alias("n"),
+                  .where("t.k = k AND x >= t.lo AND x <= t.hi"))
+        walked = tagged.selectExpr(
+            "x", "c", "t",
+            "t.before + sum(c) OVER (PARTITION BY t.k, t.j, t.which ORDER BY x"
+            " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto",
+        )
+        hits = walked.where("upto - c <= t.rank AND t.rank < upto")
+        parts_u.append(hits.selectExpr(
+            "'q' AS src", "t.k AS k", "t.j AS j", "t.which AS which", "x", "CAST(NULL AS BIGINT) AS c", "t.n AS n",
         ))
 
     u = parts_u[0] if len(parts_u) == 1 else parts_u[0].unionByName(parts_u[1])
