@@ -1,39 +1,24 @@
-"""Aggregate expressions shared by the operators.
+"""Aggregate expressions shared by the operators, as SQL text.
 
-All of them are built-in Catalyst aggregates, so they get partial (map-side)
+They are built-in Catalyst aggregates, so they get partial (map-side)
 aggregation and whole-stage codegen; none of them moves rows to the driver.
+Operators pass them to ``F.expr`` / ``selectExpr`` (one JVM call each).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from statlens.functions.columns import quote
 
-from statlens.functions.columns import qcol
 
-
-def _c(column: Column | str) -> Column:
-    return qcol(column) if isinstance(column, str) else column
-
-
-def exact_sum(column: Column | str, scale: int) -> Column:
-    """Sum of a fixed-scale value (money, 2 decimals) with no rounding error.
-
-    The values are summed as DECIMAL, so the result does not depend on how
-    the rows are split across tasks; partial sums re-aggregate exactly.
-    """
-    return F.sum(_c(column).cast(f"decimal(28,{scale})"))
-
-
-def exact_mean(column: Column | str, scale: int | None = None) -> Column:
-    """Mean of a column.
+def mean_sql(column: str, scale: int | None = None) -> str:
+    """Mean of a column (A3).
 
     ``scale=None`` is ``avg`` (double summation, order dependent in the last
-    bits).  With a scale, the sum is an exact DECIMAL and there is one
-    division at the end, so every engine and every partitioning gives the
-    same double.
+    bits).  With a scale (money: 2), the values are summed as an exact
+    DECIMAL and divided once at the end, so every engine and every
+    partitioning gives the same double, and partial sums re-aggregate exactly.
     """
-    c = _c(column)
+    c = quote(column)
     if scale is None:
-        return F.avg(c)
-    return exact_sum(c, scale).cast("double") / F.count(c)
+        return f"avg({c})"
+    return f"CAST(sum(CAST({c} AS DECIMAL(28,{int(scale)}))) AS DOUBLE) / count({c})"

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statlens.functions.columns import qcol, require_columns
+from statlens.functions.columns import quote, require_columns, sql_in, sql_literal, sql_str
 
 
 def indicator_join(
@@ -60,21 +60,19 @@ def group_comparison(
     parts = []
     for name, (frame, label_col, value_col, factor) in series.items():
         require_columns(frame, [label_col, value_col])
-        parts.append(
-            frame.where(qcol(label_col).isin(list(labels))).select(
-                qcol(label_col).alias("label"),
-                F.lit(name).alias("series"),
-                (qcol(value_col).cast("double") * F.lit(float(factor))).alias("value"),
-            )
-        )
+        parts.append(frame.where(sql_in(label_col, labels)).selectExpr(
+            f"{quote(label_col)} AS label",
+            f"{sql_str(name)} AS series",
+            f"CAST({quote(value_col)} AS DOUBLE) * {sql_literal(float(factor))} AS value",
+        ))
     values = parts[0]
     for p in parts[1:]:
         values = values.unionByName(p)
-    grid_items = [
-        F.struct(F.lit(i).alias("position"), F.lit(lab).alias("label"), F.lit(name).alias("series"))
+    grid_items = ", ".join(
+        f"named_struct('position', {i}, 'label', {sql_str(lab)}, 'series', {sql_str(name)})"
         for i, lab in enumerate(labels)
         for name in series
-    ]
-    # The grid is |labels| x |series| literal rows, built from one row of the data.
-    grid = values.sparkSession.range(1).select(F.inline(F.array(*grid_items)))
+    )
+    # The grid is |labels| x |series| literal rows (the display order).
+    grid = values.sparkSession.range(1).selectExpr(f"inline(array({grid_items}))")
     return grid.join(values, ["label", "series"], "left").select("position", "label", "series", "value")

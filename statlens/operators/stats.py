@@ -19,8 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statlens.functions.aggregates import exact_mean
-from statlens.functions.columns import qcol, require_columns
+from statlens.functions.aggregates import mean_sql
+from statlens.functions.columns import qcol, quote, require_columns, sql_literal
 from statlens.operators.quantiles import distributed_stats
 
 DEFAULT_PROBS = (0.25, 0.5, 0.75)
@@ -65,23 +65,19 @@ def scalar_stats(
     probs = list(probs)
     if method == "distributed":
         return distributed_stats(df, cols, probs, [stat_name(p) for p in probs], mean_scale=mean_scale)
-    approx = method == "approx"
-    aggs: list[Column] = [F.count(F.lit(1)).alias("n")]
+    # One aggregate, written as SQL expressions (one JVM call per column).
+    array = "array(" + ", ".join(sql_literal(float(p)) for p in probs) + ")"
+    aggs = ["count(1) AS n"]
+    out = ["n"]
     for c in cols:
-        x = qcol(c).cast("double")
+        x, q = f"CAST({quote(c)} AS DOUBLE)", quote(f"{c}__q")
         if probs:
-            if approx:
-                aggs.append(F.percentile_approx(x, probs, accuracy).alias(f"{c}__q"))
-            else:
-                aggs.append(F.percentile(x, F.array(*[F.lit(float(p)) for p in probs])).alias(f"{c}__q"))
-        aggs.append(exact_mean(qcol(c), mean_scale).alias(f"{c}_mean"))
-    one = df.agg(*aggs)
-    out = [F.col("n")]
-    for c in cols:
-        for i, p in enumerate(probs):
-            out.append(F.col(f"`{c}__q`")[i].cast("double").alias(f"{c}_{stat_name(p)}"))
-        out.append(F.col(f"`{c}_mean`"))
-    return one.select(*out)
+            fn = f"percentile_approx({x}, {array}, {int(accuracy)})" if method == "approx" else f"percentile({x}, {array})"
+            aggs.append(f"{fn} AS {q}")
+            out += [f"CAST({q}[{i}] AS DOUBLE) AS {quote(f'{c}_{stat_name(p)}')}" for i, p in enumerate(probs)]
+        aggs.append(f"{mean_sql(c, mean_scale)} AS {quote(f'{c}_mean')}")
+        out.append(quote(f"{c}_mean"))
+    return df.agg(*[F.expr(a) for a in aggs]).selectExpr(*out)
 
 
 def stat(stats: DataFrame, name: str) -> Column:
