@@ -1,7 +1,7 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, in numpy.
 
-A word's input is its hashed word embedding beside the mean embedding of its
-character trigrams.  Windows of ``WINDOW`` words, ``STRIDE`` apart, cover a whole
+A word's input is its word embedding (zero for words in fewer than ``LEAST_DOCS``
+training documents) beside the mean embedding of its character trigrams.  Windows of ``WINDOW`` words, ``STRIDE`` apart, cover a whole
 text; a forward and a backward GRU run over each window, attention pools their
 states, and a logistic unit scores the pool.  A document's score is that of its
 highest window.
@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 
 from statlens.llm.textvec import BASE, FOLD, INVERSE, IS_WORD, U64, mix, powers, slices
 
-SAMPLE, THRESHOLD = 1200, 0.3
+SAMPLE, LEAST_DOCS, THRESHOLD = 1000, 3, 0.3
 WINDOW, STRIDE, HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION = 32, 16, 8, 8, 8, 8
-WORD_BUCKETS, CHAR_BUCKETS = 1 << 14, 1 << 12
-PHASES, STEPS, BATCH, RATE, TEXT_BLOCK, WINDOW_BLOCK = 3, 150, 128, 0.01, 2 << 20, 4096
+CHAR_BUCKETS = 1 << 12
+PHASES, STEPS, BATCH, RATE, TEXT_BLOCK, WINDOW_BLOCK = 3, 120, 128, 0.01, 2 << 20, 4096
 
 
 class Words:
@@ -43,7 +43,6 @@ class Words:
         np.cumsum(mix(np.arange(1, 257, dtype=U64))[joined] * powers(BASE, len(joined)), out=sums[1:])
         hashes = mix((sums[end] - sums[start]) * powers(INVERSE, len(joined))[start] + (end - start).astype(U64))
         self.hashes, lead, self.word = np.unique(hashes, return_index=True, return_inverse=True)
-        self.bucket = (self.hashes & U64(WORD_BUCKETS - 1)).astype(np.int64)
         n = (end - start)[lead]  # a trigram around each byte of the word
         at = np.repeat(start[lead], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         x = joined.astype(np.uint32)
@@ -66,26 +65,34 @@ class Words:
         word = self.word if len(self.word) else np.zeros(1, np.int64)
         return word[np.minimum(place, len(word) - 1)] * mask, mask
 
+    def known(self, model: dict, which: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """The row of each distinct word in the word embedding; 0, which stays zero, for unknown words."""
+        h, vocab = self.hashes[which], model["vocab"]
+        if not len(vocab):
+            return np.zeros(len(h), np.int64)
+        at = np.minimum(np.searchsorted(vocab, h), len(vocab) - 1)
+        return np.where(vocab[at] == h, at + 1, 0)
+
     def inputs(self, model: dict, which: np.ndarray | slice = slice(None)) -> np.ndarray:
         """The input vectors of the distinct words ``which``."""
-        bucket = self.bucket[which]
-        if not len(bucket):
+        known = self.known(model, which)
+        if not len(known):
             return np.zeros((1, WORD_DIM + CHAR_DIM), np.float32)
         n, s = self.gram_count[which], self.gram_start[which]
         off = np.cumsum(n) - n
         at = np.repeat(s - off, n) + np.arange(n.sum())
         chars = np.add.reduceat(model["char"][self.gram[at]], off, axis=0) / n[:, None]
-        return np.concatenate([model["word"][bucket], chars], axis=1).astype(np.float32)
+        return np.concatenate([model["word"][known], chars], axis=1).astype(np.float32)
 
 
 def sigmoid(x):
     return np.float32(0.5) * np.tanh(np.float32(0.5) * x) + np.float32(0.5)
 
 
-def new_model(seed: int = 7) -> dict[str, np.ndarray]:
+def new_model(vocab: np.ndarray, seed: int = 7) -> dict[str, np.ndarray]:
     rng, d = np.random.default_rng(seed), WORD_DIM + CHAR_DIM
     make = lambda *shape, scale: (rng.standard_normal(shape) * scale).astype(np.float32)
-    model = {"word": make(WORD_BUCKETS, WORD_DIM, scale=0.05), "char": make(CHAR_BUCKETS, CHAR_DIM, scale=0.1)}
+    model = {"vocab": vocab, "word": np.zeros((len(vocab) + 1, WORD_DIM), np.float32), "char": make(CHAR_BUCKETS, CHAR_DIM, scale=0.1)}
     for k in "fb":
         model |= {"W" + k: make(d, 3 * HIDDEN, scale=0.3), "U" + k: make(HIDDEN, 3 * HIDDEN, scale=0.3),
                   "b" + k: np.zeros(3 * HIDDEN, np.float32)}
@@ -156,8 +163,9 @@ def gradients(m: dict, words: Words, which: np.ndarray, label: np.ndarray) -> di
         g |= {"U" + k: d_u, "W" + k: x.T @ d_gate, "b" + k: d_gate.sum(axis=0)}
         d_x += d_gate @ m["W" + k].T
     g["word"], g["char"] = np.zeros_like(m["word"]), np.zeros_like(m["char"])
-    if len(words.bucket):
-        np.add.at(g["word"], words.bucket[own], d_x[:, :WORD_DIM])
+    if len(words.hashes):
+        np.add.at(g["word"], words.known(m, own), d_x[:, :WORD_DIM])
+        g["word"][0] = 0
         count, start = words.gram_count[own], words.gram_start[own]
         at = np.repeat(start - (np.cumsum(count) - count), count) + np.arange(count.sum())
         np.add.at(g["char"], words.gram[at], np.repeat(d_x[:, WORD_DIM:] / count[:, None], count, axis=0))
@@ -183,7 +191,7 @@ def highest(words: Words, score: np.ndarray) -> np.ndarray:
 
 def train(texts: list[bytes], label: np.ndarray, seed: int = 7) -> dict[str, np.ndarray]:
     """The network for whole texts with labels 0 and 1 (both occur)."""
-    m, words, rng = new_model(seed), Words(texts), np.random.default_rng(seed)
+    words, rng = Words(texts), np.random.default_rng(seed)
     doc = np.repeat(np.arange(len(texts)), np.diff(words.first))
     pairs = np.unique(doc * len(words.hashes) + words.word) if len(words.word) else np.zeros(0, np.int64)
     d, w = np.divmod(pairs, max(1, len(words.hashes)))
@@ -191,10 +199,13 @@ def train(texts: list[bytes], label: np.ndarray, seed: int = 7) -> dict[str, np.
     pos, neg = label.sum(), (1 - label).sum()
     odds = np.log((bad + 0.5) / (pos + 1)) - np.log((all_ - bad + 0.5) / (neg + 1))
     odds *= all_ / (all_ + 5)
-    m["word"][words.bucket, 0] = np.clip(odds, -3, 3)
+    often = np.flatnonzero(all_ >= LEAST_DOCS)
+    m = new_model(words.hashes[often], seed)
+    m["word"][1:, 0] = np.clip(odds[often], -3, 3)
+    odds[all_ < LEAST_DOCS] = 0
     total = np.r_[0, np.cumsum(odds[words.word])] if len(words.word) else np.zeros(1)
     score = total[words.start + words.size] - total[words.start]
-    moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in m.items()}
+    moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in m.items() if k != "vocab"}
     step = 0
     windows = label[words.text]
     for _ in range(PHASES):
