@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from statlens.llm.common import keep_rows, staged
 from statlens.llm.textvec import FOLD, IS_WORD, slices
 
-SAMPLE, BUCKETS, EFFECTIVE = 8000, 1 << 16, 100
+SAMPLE, BUCKETS, SMOOTHING, EFFECTIVE = 8000, 1 << 16, 0.05, 100
 DECLARED, STRENGTH, UND_PRIOR, LEAST_POSTERIOR = 0.9, 20.0, 1e-3, 0.5
 TEXT_BLOCK = 4 << 20
 
@@ -74,7 +74,7 @@ def fit(spark: SparkSession, docs: DataFrame, sample: int = SAMPLE) -> tuple[lis
     rows = labelled.join(F.broadcast(chosen), F.col("doc_id") == F.col("id_"), "left_semi")  # at most ``sample`` ids
     counts = trigram_counts(rows.select(F.col("text").alias("t"), "lang")).toPandas()  # at most BUCKETS rows a language
     langs = sorted(counts["lang"].unique())
-    table = np.full((len(langs), BUCKETS), 0.5)
+    table = np.full((len(langs), BUCKETS), SMOOTHING)
     for i, lang in enumerate(langs):
         own = counts[counts["lang"] == lang]
         table[i, own["bucket"].to_numpy()] += own["n"].to_numpy()

@@ -219,7 +219,7 @@ def pack(spark: SparkSession, pieces: DataFrame, capacity: int = CAPACITY, shard
         loads = staged(spark, load.select(F.col("shard").alias("s_"), F.col("bin").alias("b_"), final.alias("final")), "loads")
         placed = best.join(loads, F.expr("shard = s_ AND bin = b_"))
         left = placed.where("NOT final").count()
-        if left > total // 2:  # sizes that don't fill bins well: fewer shards would not help
+        if -(-left // shard) >= shards:  # sizes that don't fill bins well: there would be no fewer shards
             placed, left = placed.withColumn("final", F.lit(True)), 0
         part = placed.where("final").selectExpr("rid", f"{level} * (1L << 56) + shard * (1L << 24) + bin AS sequence_id", "offset")
         done = part if done is None else done.union(part)
