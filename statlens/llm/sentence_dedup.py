@@ -20,15 +20,13 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statlens.llm.common import staged
 from statlens.llm.decontaminate import _TABLE
 from statlens.llm.sieve import passes, sieve
-from statlens.llm.suffix_dedup import encode, hash128, keyed, merged, with_text
-from statlens.llm.textvec import U64
+from statlens.llm.suffix_dedup import encode, hashes64, hashes128, keyed, merged, with_text
 
 SENTENCES, WORDS, LONG, CUT = 2, 12, 40, 20
 _SENTENCE = re.compile(rb"[^.!?\n]*(?:[.!?\n]+\s*|$)")
@@ -85,8 +83,8 @@ def repeated_sentences(spark: SparkSession, docs: DataFrame, least: int = SENTEN
 
     def first_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            h = [xxhash.xxh3_64_intdigest(s) for t in encode(b["text"]) for _, _, s in spans(sentences(t)[1], least, least_words)]
-            yield pd.DataFrame({"h": np.array(h, U64).view(np.int64)})
+            for i in range(0, len(b), 256):
+                yield pd.DataFrame({"h": hashes64(s for t in encode(b["text"][i:i + 256]) for _, _, s in spans(sentences(t)[1], least, least_words))})
 
     counts = rows.select("text").mapInPandas(first_pass, "h long").groupBy("h").count().where("count > 1").select("h")
     shared = spark.sparkContext.broadcast(sieve(staged(spark, counts, "sentences"), "h"))
@@ -96,11 +94,11 @@ def repeated_sentences(spark: SparkSession, docs: DataFrame, least: int = SENTEN
         for b in batches:
             for d, t1, t in zip(b["d"], b["t1"], encode(b["text"])):
                 own = list(spans(sentences(t)[1], least, least_words))
-                h = np.array([xxhash.xxh3_64_intdigest(s) for _, _, s in own], U64).view(np.int64)
-                at = np.flatnonzero(passes(words, h)) if own else ()
+                at = np.flatnonzero(passes(words, hashes64(s for _, _, s in own)))
                 if len(at):
-                    yield pd.DataFrame([(d, t1, own[k][0], own[k][1], *hash128(own[k][2])) for k in at],
-                                       columns=["d", "t1", "i", "j", "h1", "h2"], dtype=np.int64)
+                    h = hashes128(own[k][2] for k in at)
+                    yield pd.DataFrame({"d": np.int64(d), "t1": np.int64(t1), "i": [own[k][0] for k in at], "j": [own[k][1] for k in at],
+                                        "h1": h[:, 0], "h2": h[:, 1]})
 
     found = staged(spark, rows.select("d", "t1", "text").mapInPandas(second_pass, "d long, t1 long, i long, j long, h1 long, h2 long"), "spans")
     first = found.groupBy("h1", "h2").agg(F.min(F.struct("d", "t1", "i")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1")

@@ -4,15 +4,14 @@ Removed is every byte covered by a string of ``LENGTH`` bytes that also starts
 somewhere else.  Only suffixes that still share their group are sorted deeper,
 and no suffix is sorted beyond ``LENGTH`` bytes:
 
-Pass 1 (depth ``LENGTH - WINDOW + 1``).  Of the suffixes starting in any
-``WINDOW`` consecutive places one is the anchor: the one whose first ``GRAM``
-bytes hash lowest, the first of equals.  Equal strings have their anchor at the
-same place, and the string holds at least that many bytes from it on.  So a
-string can repeat only if its anchor's suffix shares its group at that depth;
-suffixes whose anchor is alone go.
-Pass 2.  An anchor stands for the starts that have it, and these for one
-context, from the first start to the end of the last string.  Anchors with an
-equal context: all their starts repeat.
+Pass 1.  Of the suffixes starting in any ``WINDOW`` consecutive places one is the
+anchor: the one whose first ``GRAM`` bytes hash lowest, the first of equals.
+Equal strings have their anchor at the same place.  Starts with the same anchor
+are taken in runs of at most an eighth of ``LENGTH``, dealt by their distance to
+it, and the strings of a run share a core of seven eighths.  A string can repeat
+only if its run's core does; runs whose core is alone go.
+Pass 2.  A run stands for one context, from its first start to the end of its
+last string.  Runs with an equal context: all their starts repeat.
 Pass 3 (depth ``LENGTH``).  Where a group of pass 1 has several contexts, one
 member of each gives all its strings; equal groups are exactly the repeated
 strings.
@@ -25,7 +24,7 @@ groups are keyed by 128 bits of the string's hash.
 from __future__ import annotations
 
 import hashlib
-from typing import Iterator
+from typing import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -51,8 +50,13 @@ def gram_hashes(joined: np.ndarray, gram: int) -> np.ndarray:
     return h * U64(0xD6E8FEB86659FD93)
 
 
-def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM, window: int = WINDOW) -> Iterator[tuple[np.ndarray, ...]]:
-    """Arrays (text, anchor, first start, last start) that cover every start of a string of ``length`` bytes."""
+def core_size(length: int) -> int:
+    return length - max(1, length // 8) + 1
+
+
+def runs(texts: list[bytes], length: int = LENGTH, gram: int = GRAM, window: int = WINDOW) -> Iterator[tuple[np.ndarray, ...]]:
+    """Arrays (text, core, first start, last start) of runs that cover every start of a string of ``length`` bytes."""
+    wide = length - core_size(length) + 1
     parts = [(i, s) for i, t in enumerate(texts) for s in range(0, max(0, len(t) - length + 1), SEGMENT)]
     sizes = [min(len(texts[i]) - s, SEGMENT + length - 1) for i, s in parts]
     for cut in slices(sizes, BLOCK):
@@ -72,16 +76,21 @@ def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM, window:
         last = np.r_[first[1:], len(part)] - 1
         own_part = part[first]
         text, base = np.array([i for i, _ in own])[own_part], np.array([s for _, s in own])[own_part] - off[own_part]
-        yield text, at[first] + base, start[first] + base, start[last] + base
+        a, lo, hi = at[first] + base, start[first] + base, start[last] + base
+        near, n = (a - hi) // wide, (a - lo) // wide - (a - hi) // wide + 1
+        which = np.repeat(np.arange(len(a)), n)
+        core = a[which] - wide * (near[which] + np.arange(len(which)) - (np.cumsum(n) - n)[which])
+        yield text[which], core, np.maximum(lo[which], core - wide + 1), np.minimum(hi[which], core)
 
 
-def signed64(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
+def hashes64(parts: Iterable[bytes]) -> np.ndarray:
+    """A long for each of the byte strings."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, parts)), ">i8").astype(np.int64)
 
 
-def hash128(b: bytes) -> tuple[int, int]:
-    x = xxhash.xxh3_128_intdigest(b)
-    return signed64(x >> 64), signed64(x & ((1 << 64) - 1))
+def hashes128(parts: Iterable[bytes]) -> np.ndarray:
+    """Two longs for each of the byte strings."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts)), ">i8").astype(np.int64).reshape(-1, 2)
 
 
 def merged(spans) -> list[tuple[int, int]]:
@@ -108,14 +117,13 @@ def encode(texts) -> list[bytes]:
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """``d, t1, spans`` (see ``keyed``): half-open byte ranges to remove, of the texts that have any."""
-    depth, rows = length - window + 1, keyed(docs)
+    depth, rows = core_size(length), keyed(docs)
 
     def first_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts = encode(b["text"])
-            for text, a, _, _ in anchors(texts, length, gram, window):
-                k = [xxhash.xxh3_64_intdigest(texts[i][p:p + depth]) for i, p in zip(text.tolist(), a.tolist())]
-                yield pd.DataFrame({"k": np.array(k, U64).view(np.int64)})
+            for text, core, _, _ in runs(texts, length, gram, window):
+                yield pd.DataFrame({"k": hashes64(texts[i][p:p + depth] for i, p in zip(text.tolist(), core.tolist()))})
 
     groups = rows.select("text").mapInPandas(first_pass, "k long").groupBy("k").count().where("count > 1").select("k")
     shared = spark.sparkContext.broadcast(sieve(staged(spark, groups, "depth"), "k"))
@@ -124,12 +132,12 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
         words = shared.value
         for b in batches:
             texts, d, t1 = encode(b["text"]), b["d"].to_numpy(), b["t1"].to_numpy()
-            for text, a, lo, hi in anchors(texts, length, gram, window):
-                k = np.array([xxhash.xxh3_64_intdigest(texts[i][p:p + depth]) for i, p in zip(text.tolist(), a.tolist())], U64).view(np.int64)
-                on = np.flatnonzero(passes(words, k)) if len(k) else np.zeros(0, np.int64)
-                x = [hash128(texts[i][s:e + length]) for i, s, e in zip(text[on].tolist(), lo[on].tolist(), hi[on].tolist())]
+            for text, core, lo, hi in runs(texts, length, gram, window):
+                k = hashes64(texts[i][p:p + depth] for i, p in zip(text.tolist(), core.tolist()))
+                on = np.flatnonzero(passes(words, k))
+                x = hashes128(texts[i][s:e + length] for i, s, e in zip(text[on].tolist(), lo[on].tolist(), hi[on].tolist()))
                 yield pd.DataFrame({"d": d[text[on]], "t1": t1[text[on]], "k": k[on], "lo": lo[on], "n": hi[on] - lo[on] + 1,
-                                    "x1": [v[0] for v in x], "x2": [v[1] for v in x]}).astype(np.int64)
+                                    "x1": x[:, 0], "x2": x[:, 1]}).astype(np.int64)
 
     members = staged(spark, rows.select("d", "t1", "text").mapInPandas(
         second_pass, "d long, t1 long, k long, lo long, n long, x1 long, x2 long"), "members")
@@ -152,8 +160,8 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
 
     def strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for c in b["bytes"]:
-                yield pd.DataFrame({"w": [hash128(c[i:i + length])[0] for i in range(len(c) - length + 1)]}, dtype=np.int64)
+            for i in range(0, len(b), 512):
+                yield pd.DataFrame({"w": hashes128(c[p:p + length] for c in b["bytes"][i:i + 512] for p in range(len(c) - length + 1))[:, 0]})
 
     twice = context.mapInPandas(strings, "w long").groupBy("w").count().where("count > 1").select("w")
     maybe = spark.sparkContext.broadcast(sieve(staged(spark, twice, "strings"), "w"))
@@ -161,16 +169,21 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
     def third_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = maybe.value
         for b in batches:
-            for x1, x2, c in zip(b["x1"], b["x2"], b["bytes"]):
-                w = np.array([hash128(c[i:i + length]) for i in range(len(c) - length + 1)], np.int64).reshape(-1, 2)
+            for i in range(0, len(b), 512):
+                own = b[i:i + 512]
+                n = own["bytes"].str.len().to_numpy() - length + 1
+                w = hashes128(c[p:p + length] for c in own["bytes"] for p in range(len(c) - length + 1))
                 at = np.flatnonzero(passes(words, np.ascontiguousarray(w[:, 0])))
-                yield pd.DataFrame({"w1": w[at, 0], "w2": w[at, 1], "x1": np.int64(x1), "x2": np.int64(x2), "i": at})
+                which = np.repeat(np.arange(len(own)), n)
+                place = np.arange(len(which)) - (np.cumsum(n) - n)[which]
+                yield pd.DataFrame({"w1": w[at, 0], "w2": w[at, 1], "x1": own["x1"].to_numpy()[which[at]],
+                                    "x2": own["x2"].to_numpy()[which[at]], "i": place[at]})
 
     found = staged(spark, context.mapInPandas(third_pass, "w1 long, w2 long, x1 long, x2 long, i long"), "found")
     equal = staged(spark, found.groupBy("w1", "w2").count().where("count > 1").selectExpr("w1 AS v1", "w2 AS v2"), "equal")
     part = found.join(equal, F.expr("w1 = v1 AND w2 = v2")).groupBy("x1", "x2").agg(F.sort_array(F.collect_set("i")).alias("i"))
-    runs = "filter(i, (x, j) -> j = 0 OR i[j - 1] < x - 1)", "filter(i, (x, j) -> j = size(i) - 1 OR i[j + 1] > x + 1)"
-    part = part.selectExpr("x1", "x2", f"inline(arrays_zip({runs[0]}, {runs[1]})) AS (a, b)")
+    ends = "filter(i, (x, j) -> j = 0 OR i[j - 1] < x - 1)", "filter(i, (x, j) -> j = size(i) - 1 OR i[j + 1] > x + 1)"
+    part = part.selectExpr("x1", "x2", f"inline(arrays_zip({ends[0]}, {ends[1]})) AS (a, b)")
     starts = staged(spark, whole.union(part).selectExpr("x1 AS y1", "x2 AS y2", "a", "b"), "starts")
     spans = members.join(starts, F.expr("x1 = y1 AND x2 = y2")).selectExpr("d", "t1", "lo + a AS s", f"lo + b + {length} AS e")
     return staged(spark, spans.groupBy("d", "t1").agg(F.collect_set(F.struct("s", "e")).alias("spans")), "spans")
