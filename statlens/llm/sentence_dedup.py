@@ -20,13 +20,14 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statlens.llm.common import staged
 from statlens.llm.decontaminate import _TABLE
 from statlens.llm.sieve import passes, sieve
-from statlens.llm.suffix_dedup import encode, hashes64, hashes128, keyed, merged, with_text
+from statlens.llm.suffix_dedup import hashes64, hashes128, keyed, merged, parts, with_text
 
 SENTENCES, WORDS, LONG, CUT = 2, 12, 40, 20
 _SENTENCE = re.compile(rb"[^.!?\n]*(?:[.!?\n]+\s*|$)")
@@ -81,26 +82,26 @@ def repeated_sentences(spark: SparkSession, docs: DataFrame, least: int = SENTEN
     """``d, t1, spans``: ranges of sentences to remove, of the texts that have any."""
     rows = keyed(docs)
 
-    def first_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for i in range(0, len(b), 256):
-                yield pd.DataFrame({"h": hashes64(s for t in encode(b["text"][i:i + 256]) for _, _, s in spans(sentences(t)[1], least, least_words))})
+    def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in parts(batches):
+            yield pa.RecordBatch.from_pydict({"h": hashes64(s for t in texts for _, _, s in spans(sentences(t)[1], least, least_words))})
 
-    counts = rows.select("text").mapInPandas(first_pass, "h long").groupBy("h").count().where("count > 1").select("h")
+    counts = rows.select("text").mapInArrow(first_pass, "h long").groupBy("h").count().where("count > 1").select("h")
     shared = spark.sparkContext.broadcast(sieve(staged(spark, counts, "sentences"), "h"))
 
-    def second_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value
-        for b in batches:
-            for d, t1, t in zip(b["d"], b["t1"], encode(b["text"])):
+        for b, texts in parts(batches):
+            rows = []
+            for d, t1, t in zip(b.column("d").to_pylist(), b.column("t1").to_pylist(), texts):
                 own = list(spans(sentences(t)[1], least, least_words))
                 at = np.flatnonzero(passes(words, hashes64(s for _, _, s in own)))
                 if len(at):
-                    h = hashes128(own[k][2] for k in at)
-                    yield pd.DataFrame({"d": np.int64(d), "t1": np.int64(t1), "i": [own[k][0] for k in at], "j": [own[k][1] for k in at],
-                                        "h1": h[:, 0], "h2": h[:, 1]})
+                    rows += [(d, t1, own[k][0], own[k][1], *h) for k, h in zip(at, hashes128(own[k][2] for k in at).tolist())]
+            if rows:
+                yield pa.RecordBatch.from_pydict(dict(zip(("d", "t1", "i", "j", "h1", "h2"), (pa.array(c, pa.int64()) for c in zip(*rows)))))
 
-    found = staged(spark, rows.select("d", "t1", "text").mapInPandas(second_pass, "d long, t1 long, i long, j long, h1 long, h2 long"), "spans")
+    found = staged(spark, rows.select("d", "t1", "text").mapInArrow(second_pass, "d long, t1 long, i long, j long, h1 long, h2 long"), "spans")
     first = found.groupBy("h1", "h2").agg(F.min(F.struct("d", "t1", "i")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1")
     first = staged(spark, first.selectExpr("h1 AS g1", "h2 AS g2", "f.d AS fd", "f.t1 AS ft", "f.i AS fi"), "firsts")
     later = found.join(first, F.expr("h1 = g1 AND h2 = g2")).where("NOT (d = fd AND t1 = ft AND i = fi)")

@@ -28,6 +28,8 @@ from typing import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,6 +113,15 @@ def keyed(docs: DataFrame) -> DataFrame:
                        F.xxhash64(text).alias("t1"), text.alias("text"))
 
 
+def parts(batches: Iterable[pa.RecordBatch], limit: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of the batches with their texts' bytes, about ``limit`` bytes each."""
+    for b in batches:
+        sizes = pc.binary_length(b.column("text")).to_pylist()
+        for s in slices(sizes, limit):
+            own = b.slice(s.start, s.stop - s.start)
+            yield own, own.column("text").cast(pa.binary()).to_pylist()
+
+
 def encode(texts) -> list[bytes]:
     return [t.encode("utf-8", "surrogatepass") for t in texts]
 
@@ -119,27 +130,26 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
     """``d, t1, spans`` (see ``keyed``): half-open byte ranges to remove, of the texts that have any."""
     depth, rows = core_size(length), keyed(docs)
 
-    def first_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            texts = encode(b["text"])
+    def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in parts(batches):
             for text, core, _, _ in runs(texts, length, gram, window):
-                yield pd.DataFrame({"k": hashes64(texts[i][p:p + depth] for i, p in zip(text.tolist(), core.tolist()))})
+                yield pa.RecordBatch.from_pydict({"k": hashes64(texts[i][p:p + depth] for i, p in zip(text.tolist(), core.tolist()))})
 
-    groups = rows.select("text").mapInPandas(first_pass, "k long").groupBy("k").count().where("count > 1").select("k")
+    groups = rows.select("text").mapInArrow(first_pass, "k long").groupBy("k").count().where("count > 1").select("k")
     shared = spark.sparkContext.broadcast(sieve(staged(spark, groups, "depth"), "k"))
 
-    def second_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared.value
-        for b in batches:
-            texts, d, t1 = encode(b["text"]), b["d"].to_numpy(), b["t1"].to_numpy()
+        for b, texts in parts(batches):
+            d, t1 = b.column("d").to_numpy(), b.column("t1").to_numpy()
             for text, core, lo, hi in runs(texts, length, gram, window):
                 k = hashes64(texts[i][p:p + depth] for i, p in zip(text.tolist(), core.tolist()))
                 on = np.flatnonzero(passes(words, k))
                 x = hashes128(texts[i][s:e + length] for i, s, e in zip(text[on].tolist(), lo[on].tolist(), hi[on].tolist()))
-                yield pd.DataFrame({"d": d[text[on]], "t1": t1[text[on]], "k": k[on], "lo": lo[on], "n": hi[on] - lo[on] + 1,
-                                    "x1": x[:, 0], "x2": x[:, 1]}).astype(np.int64)
+                yield pa.RecordBatch.from_pydict({"d": d[text[on]], "t1": t1[text[on]], "k": k[on], "lo": lo[on], "n": hi[on] - lo[on] + 1,
+                                                  "x1": np.ascontiguousarray(x[:, 0]), "x2": np.ascontiguousarray(x[:, 1])})
 
-    members = staged(spark, rows.select("d", "t1", "text").mapInPandas(
+    members = staged(spark, rows.select("d", "t1", "text").mapInArrow(
         second_pass, "d long, t1 long, k long, lo long, n long, x1 long, x2 long"), "members")
     classes = staged(spark, members.groupBy("k", "x1", "x2").agg(
         F.count(F.lit(1)).alias("size"), F.min(F.struct("d", "t1", "lo", "n")).alias("one")), "classes")
@@ -153,7 +163,8 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH, g
 
     def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for t, at in zip(encode(b["text"]), b["at"]):
+            for t, at in zip(b["text"], b["at"]):
+                t = t.encode("utf-8", "surrogatepass")
                 yield pd.DataFrame([(p["x1"], p["x2"], t[p["lo"]:p["lo"] + p["n"] - 1 + length]) for p in at], columns=["x1", "x2", "bytes"])
 
     context = staged(spark, wanted.where("at IS NOT NULL").select("text", "at").mapInPandas(contexts, "x1 long, x2 long, bytes binary").distinct(), "contexts")
@@ -197,15 +208,16 @@ def with_text(spark: SparkSession, docs: DataFrame, found: DataFrame, all_texts:
     """
     words = spark.sparkContext.broadcast(sieve(found.select(F.xxhash64("d", "t1").alias("key")), "key"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            on = passes(words.value, b["key"].to_numpy())
-            text = b["text"] if all_texts else b["text"].where(on, None)
-            yield pd.DataFrame({"here": on, "text": text, "doc_id": b["doc_id"].astype("Int64"), "d": b["d"], "t1": b["t1"],
-                                "n_bytes": b["n_bytes"], "sha256": b["sha256"]})
+            on, text = pa.array(passes(words.value, b.column("key").to_numpy())), b.column("text")
+            if not all_texts:
+                text = pc.if_else(on, text, pa.scalar(None, text.type))
+            rest = ["doc_id", "d", "t1", "n_bytes", "sha256"]
+            yield pa.RecordBatch.from_arrays([on, text, *(b.column(c) for c in rest)], names=["here", "text", *rest])
 
     rows = keyed(docs).withColumns({"key": F.xxhash64("d", "t1"), "n_bytes": F.octet_length("text").cast("long"), "sha256": F.sha2("text", 256)})
-    rows = rows.mapInPandas(run, "here boolean, text string, doc_id long, d long, t1 long, n_bytes long, sha256 string")
+    rows = rows.mapInArrow(run, "here boolean, text string, doc_id long, d long, t1 long, n_bytes long, sha256 string")
     found = found.withColumnsRenamed({"d": "d_", "t1": "t_"})
     joined = rows.where("here").join(found, F.expr("d = d_ AND t1 = t_"), "left").drop("d_", "t_")
     return joined.unionByName(rows.where("NOT here"), allowMissingColumns=True).drop("here")
