@@ -46,6 +46,17 @@ def staged(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand texts to Python in batches of at most ``rows`` rows, unless the session says otherwise.
+
+    Spark's default of 10,000 rows makes batches of tens of MB, which a task holds
+    several times (on the JVM's side, as read, and as Python values).
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlens.llm.common import keep_rows, staged
+from statlens.llm.common import bounded_batches, keep_rows, staged
 from statlens.llm.textvec import FOLD, IS_WORD, U64, shingles, slices, words
 
 WORDS, THRESHOLD, BINS = 5, 0.8, 4
@@ -104,6 +104,7 @@ def contained_items(spark: SparkSession, docs: DataFrame, items: DataFrame, size
     contains nothing; rows without an id take no part.  Repeated rows give the
     row once.  Empty tables give an empty result; other columns are not read.
     """
+    bounded_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("t")).where(
         "doc_id IS NOT NULL AND length(t) > 0")
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("t")).where(

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlens.llm.common import keep_rows, staged
+from statlens.llm.common import bounded_batches, keep_rows, staged
 from statlens.llm.textvec import FOLD, IS_WORD, slices
 
 SAMPLE, BUCKETS, SMOOTHING, EFFECTIVE = 8000, 1 << 16, 0.05, 100
@@ -116,6 +116,7 @@ def identify(spark: SparkSession, docs: DataFrame, web: DataFrame, sample: int =
     row there is no language, and all are ``und``.  An empty table gives an empty
     result; other columns are not read.
     """
+    bounded_batches(spark)
     langs, table = fit(spark, docs, sample)
     n, names = len(langs), ", ".join(f"'{x}'" for x in [*langs, "und"])
     scores = staged(spark, text_scores(spark, docs, table), "scores")

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlens.llm.common import staged
+from statlens.llm.common import bounded_batches, staged
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY, END_ID = 4096, 1
@@ -265,4 +265,5 @@ def packed_documents(spark: SparkSession, docs: DataFrame, tokenizer: str = TOKE
     Null and empty texts are one end token; repeated rows are packed as often as
     they come; an empty table gives an empty result; other columns are not read.
     """
+    bounded_batches(spark)
     return pack(spark, token_pieces(docs, tokenizer, capacity), capacity)

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlens.llm.common import keep_rows, staged
+from statlens.llm.common import bounded_batches, keep_rows, staged
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 BLOCKS, SHARD = 5, 4096
@@ -70,6 +70,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "fp": [signed(fingerprint(t, shingle, seed)) for t in b["t"]]})
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
     ids = rows.where("doc_id IS NOT NULL").mapInPandas(run, "doc_id long, fp long")
     return ids

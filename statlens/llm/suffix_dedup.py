@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlens.llm.common import staged
+from statlens.llm.common import bounded_batches, staged
 from statlens.llm.sieve import passes, sieve
 from statlens.llm.textvec import BASE, U64, mix, slices
 
@@ -108,6 +108,7 @@ def merged(spans) -> list[tuple[int, int]]:
 
 def keyed(docs: DataFrame) -> DataFrame:
     """``d, t1, text``: a row's id (a null has one of its own) and its text's hash; null text: empty."""
+    bounded_batches(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("d"),
                        F.xxhash64(text).alias("t1"), text.alias("text"))

@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statlens.llm.common import bounded_batches
 from statlens.llm.textvec import BASE, FOLD, INVERSE, IS_WORD, U64, mix, powers, slices
 
 SAMPLE, LEAST_DOCS, THRESHOLD = 1000, 3, 0.3
@@ -262,6 +263,7 @@ def score_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame, thr
     scores are 0.  An empty table gives an empty result; other columns are not
     inputs.
     """
+    bounded_batches(spark)
     model = spark.sparkContext.broadcast(fit(spark, docs, labels, sample))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

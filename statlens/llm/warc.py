@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlens.llm.common import new_folder, staged
+from statlens.llm.common import bounded_batches, new_folder, staged
 
 CHUNK, ARCHIVE_BYTES, LEVEL, DATE = 1 << 16, 32 << 20, 3, "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -98,6 +98,7 @@ def write_archives(spark: SparkSession, pages: DataFrame, folder: str, least: in
     first with one, else is a response.  An empty table gives an empty manifest.
     Manifest: ``path, records, bytes``.
     """
+    bounded_batches(spark)
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"),
                          F.xxhash64(html).alias("mark"))
