@@ -42,7 +42,10 @@ def sql_literal(value) -> str:
 
 
 def sql_in(column: str, values) -> str:
-    """``column IN (...)`` over literals."""
+    """``column IN (...)`` over literals; no literal matches nothing."""
+    values = list(values)
+    if not values:
+        return "false"
     return f"{quote(column)} IN ({', '.join(sql_literal(v) for v in values)})"
 
 

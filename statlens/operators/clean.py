@@ -28,9 +28,6 @@ INCOME_GROUPS = [
 CONTINENTS = ["Africa", "Asia", "Australia", "Europe", "North America", "South America"]
 CONTINENT_ALSO_COUNTRY = ["Australia"]
 
-# Label lists longer than this are matched with a join instead of ``isin``.
-ISIN_MAX = 1000
-
 
 def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Drop rows with a NULL (or a NaN in a float column) in ``subset`` (F2).
@@ -46,21 +43,18 @@ def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
 def _label_filter(df: DataFrame, label_col: str, labels, keep: bool) -> DataFrame:
     """Keep (``keep=True``) or drop rows whose label is in ``labels``.
 
-    ``labels`` is a list (an ``IN`` predicate, pushed to the scan) or a
-    one-column DataFrame of labels of any size (a semi/anti join; Catalyst
-    broadcasts it only if its estimated size is under the threshold).
+    A list of any length is an ``IN`` predicate, pushed to the scan; a
+    one-column DataFrame is a semi/anti join (Catalyst broadcasts it only if
+    its estimated size is under the threshold).  The caller decides.
     """
     if isinstance(labels, DataFrame):
         right = labels.select(F.col(labels.columns[0]).alias("__label")).distinct()
         how = "left_semi" if keep else "left_anti"
         # Same NULL rule as ``isin``: a NULL label never survives.
         return df.where(qcol(label_col).isNotNull()).join(right, qcol(label_col) == F.col("__label"), how)
-    labels = list(labels)
-    if len(labels) > ISIN_MAX:
-        spark = df.sparkSession
-        return _label_filter(df, label_col, spark.createDataFrame([(x,) for x in labels], "label string"), keep)
     cond = sql_in(label_col, labels)
     # As in the reference (and SQL NOT IN), a NULL label is dropped either way.
+    # An empty list matches nothing: none are kept, or none are dropped.
     return df.where(cond) if keep else df.where(f"NOT ({cond})")
 
 

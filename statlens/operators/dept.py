@@ -17,6 +17,11 @@ EMPLOYEE_COLUMNS = ("id", "name", "salary", "department")
 STATS_COLUMNS = ("department", "total_salary", "staff_count", "average_salary")
 
 
+def _whole(number: Column) -> Column:
+    """Whether a double is a number within the range of BIGINT."""
+    return ~F.isnan(number) & (F.abs(number) < F.lit(2.0 ** 63))
+
+
 def to_salary(column: Column, data_type) -> Column:
     """Whole-unit salary as BIGINT, truncating decimals.
 
@@ -25,14 +30,18 @@ def to_salary(column: Column, data_type) -> Column:
     value raises instead of passing through as NULL.
     """
     if isinstance(data_type, StringType):
-        # ANSI rejects "2000.5" as BIGINT text; go through an exact decimal.
-        value = F.trim(column).cast("decimal(38,6)").cast("bigint")
+        # The digits before the point are the truncated value: no scale is lost
+        # on the way.  Other spellings of a number (1e3, .5) go through a double.
+        text = F.trim(column)
+        plain = text.rlike(r"^[+-]?[0-9]+([.][0-9]*)?$")
+        number = F.when(~plain, text.cast("double"))
+        value = F.when(plain, F.regexp_extract(text, r"^([+-]?[0-9]+)", 1).cast("bigint")).when(_whole(number), number.cast("bigint"))
     elif isinstance(data_type, NumericType):
-        value = column.cast("bigint")
+        value = F.when(_whole(column.cast("double")), column.cast("bigint"))
     else:
         raise TypeError(f"salary must be text or numeric, not {data_type.simpleString()}")
-    # Both checks hold whatever spark.sql.ansi.enabled is: with ANSI off a bad
-    # text casts to NULL instead of raising, and is caught by the second one.
+    # Both checks hold whatever spark.sql.ansi.enabled is: NaN and numbers out of
+    # range are NULL here, as is bad text with ANSI off, and the second one raises.
     return (F.when(column.isNull(), F.raise_error(F.lit("salary is missing")))
             .when(value.isNull(), F.raise_error(F.concat(F.lit("salary is not a number: "), column.cast("string"))))
             .otherwise(value))

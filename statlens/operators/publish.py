@@ -24,14 +24,14 @@ METRIC_SUFFIXES = {"average_salary": "_avg_salary", "staff_count": "_staff_count
 def report_table(
     stats: DataFrame,
     headers: Sequence[str] = STATS_COLUMNS,
-    decimals: int = 4,
+    decimals: int | None = None,
     sort_by: str | None = "department",
 ) -> DataFrame:
     """The statistics as text cells under fixed headers.
 
     Every header becomes a string column; a NULL becomes ``""`` (Q12).
-    Floating values are written with ``decimals`` places (a fixed decimal,
-    not a shortest-repr double, so the text is the same on every engine).
+    Floating values are written in full; ``decimals`` asks for that many
+    places instead (a fixed decimal).
     Rows are sorted by ``sort_by`` (Q10).
     """
     require_columns(stats, headers)
@@ -39,7 +39,7 @@ def report_table(
     for h in headers:
         dt = stats.schema[h].dataType
         c = qcol(h)
-        if isinstance(dt, (DoubleType, FloatType, DecimalType)):
+        if decimals is not None and isinstance(dt, (DoubleType, FloatType, DecimalType)):
             c = c.cast(f"decimal(38,{decimals})")
         cells.append(F.coalesce(c.cast("string"), F.lit("")).alias(h))
     out = stats.select(*cells)

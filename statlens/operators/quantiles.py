@@ -62,9 +62,10 @@ def distributed_stats(
     names: Sequence[str] | None = None,
     mean_scale: int | None = None,
     with_mean: bool = True,
+    with_count: bool = True,
     parts: int | None = None,
 ) -> DataFrame:
-    """One row: ``n``, then per column the quantiles and (optionally) the mean.
+    """One row: ``n`` (unless ``with_count`` is off), then per column the quantiles and (optionally) the mean.
 
     Quantile columns are ``{col}_{name}`` with ``names`` matching ``probs``;
     the mean is ``{col}_mean``.  Quantiles equal ``percentile(col, p)`` bit
@@ -74,7 +75,9 @@ def distributed_stats(
     names = list(names) if names is not None else [f"q{j}" for j in range(len(probs))]
     parts = parts or _parts_default(df)
     hist = value_histogram(df, cols)
-    parts_u = [hist.selectExpr("'h' AS src", "k", "CAST(NULL AS INT) AS j", "CAST(NULL AS STRING) AS which",
+    # The counts and means read the whole histogram again; without them that scan
+    # and shuffle are left out.
+    parts_u = [] if probs and not (with_mean or with_count) else [hist.selectExpr("'h' AS src", "k", "CAST(NULL AS INT) AS j", "CAST(NULL AS STRING) AS which",
                                "x", "c", "CAST(NULL AS BIGINT) AS n")]
 
     if probs:
@@ -120,7 +123,7 @@ def distributed_stats(
 
     u = parts_u[0] if len(parts_u) == 1 else parts_u[0].unionByName(parts_u[1])
     # The final aggregate as SQL expressions: one JVM call per output column.
-    out = ["CAST(coalesce(sum(CASE WHEN src = 'h' AND k = 0 THEN c END), 0) AS BIGINT) AS n"]
+    out = ["CAST(coalesce(sum(CASE WHEN src = 'h' AND k = 0 THEN c END), 0) AS BIGINT) AS n"] if with_count else []
     for i, c in enumerate(cols):
         n_i = f"max(CASE WHEN src = 'q' AND k = {i} THEN n END)"
         for j, p in enumerate(probs):

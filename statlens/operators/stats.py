@@ -49,6 +49,7 @@ def scalar_stats(
     mean_scale: int | None = None,
     method: str = "distributed",
     accuracy: int = 10000,
+    with_mean: bool = True,
 ) -> DataFrame:
     """One row: ``{col}_{stat}`` for each column and statistic, plus ``n``.
 
@@ -57,14 +58,16 @@ def scalar_stats(
     ``numpy.quantile``) unless ``method="approx"`` (``percentile_approx``, an
     element of the data, bounded memory).  ``mean_scale`` sums a fixed-scale
     column as DECIMAL for an exact, partition-independent mean.  ``method``
-    is one of ``METHODS`` (see above).
+    is one of ``METHODS`` (see above).  Without ``with_mean`` the distributed
+    method leaves out ``n`` and the means, which need the histogram once more.
     """
     require_columns(df, cols)
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
     probs = list(probs)
     if method == "distributed":
-        return distributed_stats(df, cols, probs, [stat_name(p) for p in probs], mean_scale=mean_scale)
+        return distributed_stats(df, cols, probs, [stat_name(p) for p in probs], mean_scale=mean_scale,
+                                 with_mean=with_mean, with_count=with_mean)
     # One aggregate, written as SQL expressions (one JVM call per column).
     array = "array(" + ", ".join(sql_literal(float(p)) for p in probs) + ")"
     aggs = ["count(1) AS n"]

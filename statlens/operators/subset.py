@@ -32,7 +32,12 @@ def band_condition(column: Column, lo: float | None, hi: float | None) -> Column
         conds.append(column <= F.lit(float(hi)))
     if not conds:
         return column.isNotNull()
-    return reduce(lambda a, b: a & b, conds)
+    return reduce(lambda a, b: a & b, conds) & not_nan(column)
+
+
+def not_nan(column: Column) -> Column:
+    """Spark sorts NaN above every number, so a lower bound alone would keep it."""
+    return ~F.isnan(column.cast("double"))
 
 
 def bands(
@@ -97,8 +102,8 @@ def above_stat(
     require_columns(df, cols)
     probs = [0.5] if statistic == "median" else []
     stats = scalar_stats(stats_of if stats_of is not None else df, cols, probs=probs, mean_scale=mean_scale,
-                         method=method)
-    return df.where(_all([qcol(c) > stat(stats, f"{c}_{statistic}") for c in cols]))
+                         method=method, with_mean=statistic == "mean")
+    return df.where(_all([(qcol(c) > stat(stats, f"{c}_{statistic}")) & not_nan(qcol(c)) for c in cols]))
 
 
 def above_medians(
@@ -119,7 +124,7 @@ def lower_quartile(
     df: DataFrame, column: str, p: float = 0.25, stats_of: DataFrame | None = None, method: str = "distributed"
 ) -> DataFrame:
     """Rows at or below the ``p`` quantile, inclusive."""
-    stats = scalar_stats(stats_of if stats_of is not None else df, [column], probs=[p], method=method)
+    stats = scalar_stats(stats_of if stats_of is not None else df, [column], probs=[p], method=method, with_mean=False)
     return df.where(qcol(column) <= stat(stats, f"{column}_{stat_name(p)}"))
 
 
@@ -127,8 +132,8 @@ def upper_quartile(
     df: DataFrame, column: str, p: float = 0.75, stats_of: DataFrame | None = None, method: str = "distributed"
 ) -> DataFrame:
     """Rows at or above the ``p`` quantile, inclusive."""
-    stats = scalar_stats(stats_of if stats_of is not None else df, [column], probs=[p], method=method)
-    return df.where(qcol(column) >= stat(stats, f"{column}_{stat_name(p)}"))
+    stats = scalar_stats(stats_of if stats_of is not None else df, [column], probs=[p], method=method, with_mean=False)
+    return df.where((qcol(column) >= stat(stats, f"{column}_{stat_name(p)}")) & not_nan(qcol(column)))
 
 
 def quartile_and_mean(
@@ -149,6 +154,7 @@ def quartile_and_mean(
     stats = scalar_stats(df, cols, probs=[p], mean_scale=mean_scale, method=method)
     return df.where(
         (qcol(quartile_col) >= stat(stats, f"{quartile_col}_{stat_name(p)}"))
+        & not_nan(qcol(quartile_col)) & not_nan(qcol(mean_col))
         & (qcol(mean_col) > stat(stats, f"{mean_col}_mean"))
     )
 

@@ -448,7 +448,7 @@ FROM events GROUP BY event_type""",
     + """SELECT coalesce(CAST(department AS VARCHAR), '') AS department,
        coalesce(CAST(total_salary AS VARCHAR), '') AS total_salary,
        coalesce(CAST(staff_count AS VARCHAR), '') AS staff_count,
-       coalesce(CAST(CAST(average_salary AS DECIMAL(38,4)) AS VARCHAR), '') AS average_salary
+       coalesce(CAST(average_salary AS VARCHAR), '') AS average_salary
 FROM dept ORDER BY department""",
     "run_metrics": _with(EMP, DEPT)
     + f"""SELECT '{RUN["run_name"]}' AS run_name, '{RUN["source"]}' AS source, '{RUN["destination"]}' AS destination,

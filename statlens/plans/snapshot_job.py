@@ -2,10 +2,11 @@
 
 Steps, each after the previous one succeeded:
 
-1. The snapshot is written to a staging table.  Writing evaluates every row,
-   so a malformed or missing salary fails here, while the live employee
-   table is still untouched; an empty snapshot is rejected (Q9).
-2. The staging table replaces the employee table.
+1. The snapshot is written beside the employee table.  Writing evaluates every
+   row, so a malformed or missing salary fails here (``SnapshotDataError``),
+   while the live table is still untouched; an empty snapshot is rejected (Q9).
+2. The written table is renamed into the employee table's place; nothing is
+   copied.
 3. Department statistics are computed from the employee *table* (reading a
    written table cuts the lineage: a lost executor recomputes from the
    table, not from the source) and replace the statistics table.
@@ -21,28 +22,36 @@ cluster (the same rule as ``spark.checkpoint.dir``).
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statlens.operators.dept import dept_stats
 from statlens.operators.publish import report_table, run_metrics
 from statlens.sources.employees import read_employees_csv
-from statlens.sources.tables import EmptySnapshotError, read_table, replace_table, write_report_csv
+from statlens.sources.tables import read_table, replace_table, write_report_csv
 
 DEFAULT_RUN_NAME = "dept_stats_publish"
 DEFAULT_PARAMS = {"source": "employees", "destination": "report_table"}
 
 
+# Error conditions by which Spark says that the data, not the job, is at fault.
+DATA_ERRORS = ("MALFORMED_RECORD_IN_PARSING", "MALFORMED_CSV_RECORD", "CAST_INVALID_INPUT", "CAST_OVERFLOW",
+               "NUMERIC_VALUE_OUT_OF_RANGE", "USER_RAISED_EXCEPTION", "CSV header does not conform to the schema")
+
+
+class SnapshotDataError(ValueError):
+    """A snapshot holds a value or a record that cannot be read; tables are unchanged."""
+
+
 @dataclass(frozen=True)
 class TablePaths:
     root: str
 
-    @property
-    def staging(self) -> str:
-        return f"{self.root}/_staging/employees"
-
     @property
     def employees(self) -> str:
         return f"{self.root}/employees"
@@ -65,12 +74,13 @@ class TablePaths:
 
 
 def load_snapshot(spark: SparkSession, snapshot: DataFrame, paths: TablePaths) -> DataFrame:
-    """Validate a snapshot by writing it to staging, then replace the employee table (K1)."""
-    snapshot.write.mode("overwrite").parquet(paths.staging)
-    staged = spark.read.parquet(paths.staging)
-    if staged.isEmpty():
-        raise EmptySnapshotError("the snapshot has no rows; tables left unchanged")
-    replace_table(staged, paths.employees)
+    """Replace the employee table (K1); rows that can't be read as a snapshot raise ``SnapshotDataError``."""
+    try:
+        replace_table(snapshot, paths.employees)
+    except (PySparkException, Py4JJavaError) as err:
+        if any(mark in str(err) for mark in DATA_ERRORS):
+            raise SnapshotDataError(str(err)) from err
+        raise
     return read_table(spark, paths.employees)
 
 
@@ -111,13 +121,13 @@ def run_snapshot_job(
     """Run the whole chain for one snapshot (a CSV path or an employee frame).
 
     Returns the published statistics table.  Raises ``EmptySnapshotError``
-    (tables unchanged) for an empty snapshot and a Spark error (tables
-    unchanged) for a malformed one.
+    (tables unchanged) for an empty snapshot and ``SnapshotDataError`` (tables
+    unchanged) for a malformed one; any other fault is raised as it is.
     """
     paths = TablePaths(root.rstrip("/"))
     if isinstance(snapshot, str):
         snapshot = read_employees_csv(spark, snapshot)
-    run_id = run_id or time.strftime("%Y%m%dT%H%M%S")
+    run_id = run_id or f"{time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
     load_snapshot(spark, snapshot, paths)
     stats = compute_stats(spark, paths)
     publish(spark, paths, run_id, run_name, params)

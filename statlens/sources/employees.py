@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from statlens.operators.dept import employees
+from statlens.sources.csvfiles import read_csv_by_name
 
 EMPLOYEES_RAW_SCHEMA = StructType([
     StructField("id", IntegerType(), True),
@@ -21,7 +22,5 @@ EMPLOYEES_RAW_SCHEMA = StructType([
 
 
 def read_employees_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Read a snapshot CSV (``id,name,salary,department``) as a typed snapshot."""
-    raw = (spark.read.option("header", True).option("mode", "FAILFAST")
-           .schema(EMPLOYEES_RAW_SCHEMA).csv(path))
-    return employees(raw)
+    """Read a snapshot CSV (``id,name,salary,department``, in any order) as a typed snapshot."""
+    return employees(read_csv_by_name(spark, path, EMPLOYEES_RAW_SCHEMA))

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from statlens.sources.csvfiles import read_csv_by_name
+
 
 def _schema(*fields: tuple[str, object]) -> StructType:
     return StructType([StructField(name, dtype, True) for name, dtype in fields])
@@ -55,14 +57,14 @@ def read_indicator(
 
     ``schema`` is a ``StructType`` or a key of ``SCHEMAS``.  With no schema,
     ``infer=True`` must be asked for explicitly (it scans the file twice).
-    Rows that do not fit the schema raise (``FAILFAST``) rather than turning
+    Columns are bound by header name.  Rows that do not fit the schema raise (``FAILFAST``) rather than turning
     into silent NULLs.
     """
-    reader = spark.read.option("header", True).option("sep", sep).option("mode", "FAILFAST")
     if isinstance(schema, str):
         schema = SCHEMAS[schema]
     if schema is not None:
-        return reader.schema(schema).csv(path)
+        return read_csv_by_name(spark, path, schema, sep)
     if not infer:
         raise ValueError("give a schema, or infer=True to let Spark scan the file for one")
+    reader = spark.read.option("header", True).option("sep", sep).option("mode", "FAILFAST")
     return reader.option("inferSchema", True).csv(path)

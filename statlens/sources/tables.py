@@ -1,12 +1,15 @@
 """Parquet tables: the collections of the reference re-aimed as tables.
 
-A table is a parquet directory with a fixed schema.  Replacing a table is a
-full overwrite, done only after the new content is known to be non-empty
-(Q9: the reference deletes first and can be left with an empty collection).
+A table is a parquet directory with a fixed schema.  Replacing a table writes
+the new content beside it first and switches by renaming once that is complete
+and known to be non-empty (Q9: the reference deletes first and can be left with
+an empty collection), so a write that fails leaves the old table whole.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 INTERNAL_ID = "_id"
@@ -25,15 +28,54 @@ def read_table(spark: SparkSession, path: str, hide_internal_id: bool = True) ->
 
 
 def replace_table(df: DataFrame, path: str, allow_empty: bool = False) -> None:
-    """Overwrite the table at ``path`` with ``df`` (K1, K2).
+    """Replace the table at ``path`` with ``df`` (K1, K2): one evaluation, one write.
 
-    An empty ``df`` is rejected before anything is deleted, so the old table
-    and everything derived from it stay as they were.  ``isEmpty`` reads at
-    most one row.  ``df`` must not be read from ``path`` itself.
+    The new table is written beside the old one.  If that fails, or ``df`` turns
+    out to be empty, the old table stays as it was.
     """
-    if not allow_empty and df.isEmpty():
-        raise EmptySnapshotError(f"refusing to replace {path} with an empty snapshot")
-    df.write.mode("overwrite").parquet(path)
+    spark, new = df.sparkSession, beside(path, "new")
+    try:
+        df.write.parquet(new)
+        if not allow_empty and spark.read.schema(df.schema).parquet(new).isEmpty():
+            raise EmptySnapshotError(f"refusing to replace {path} with an empty snapshot")
+    except BaseException:
+        delete(spark, new)
+        raise
+    switch(spark, new, path)
+
+
+def beside(path: str, tag: str) -> str:
+    """A name in ``path``'s folder that readers of the folder skip and no other writer uses."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return f"{folder}/_{tag}_{name}_{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, where = _file_system(spark, path)
+    fs.delete(where, True)
+
+
+def switch(spark: SparkSession, new: str, path: str) -> None:
+    """Put the complete table ``new`` in the place of ``path``; the old one comes back if that fails."""
+    fs, to = _file_system(spark, path)
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    old = make(beside(path, "old"))
+    had = fs.exists(to)
+    if had and not fs.rename(to, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(make(new), to):
+        if had:
+            fs.rename(old, to)
+        raise OSError(f"cannot move {new} to {path}")
+    if had:
+        fs.delete(old, True)
+    spark.catalog.refreshByPath(path)
 
 
 def append_table(df: DataFrame, path: str) -> None:

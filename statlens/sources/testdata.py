@@ -4,17 +4,11 @@ Schemas are declared, not inferred: inferring a parquet schema runs a
 footer-reading Spark job per table read, and a declared schema also catches
 a file whose columns changed type.  A table not listed here is inferred.
 
-Each table is registered once per session as a temporary view over its
-parquet files (as an application registers its input tables in a catalog);
-later reads resolve the view instead of re-listing and re-describing the
-files.  The data is read by every query that uses the view.
+Each read lists the files anew, so a file added between two reads is seen.
 """
 
 from __future__ import annotations
 
-import hashlib
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -52,16 +46,6 @@ def read_parquet_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame
     return reader.parquet(path)
 
 
-def view_name(sf_dir: str, name: str) -> str:
-    digest = hashlib.sha1(sf_dir.rstrip("/").encode()).hexdigest()[:10]
-    return f"statlens_{digest}_{name}"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The test table ``name`` of ``sf_dir`` (registered as a view on first use)."""
-    view = view_name(sf_dir, name)
-    try:
-        return spark.table(view)
-    except AnalysisException:
-        read_parquet_table(spark, sf_dir, name).createOrReplaceTempView(view)
-        return spark.table(view)
+    """The test table ``name`` of ``sf_dir``."""
+    return read_parquet_table(spark, sf_dir, name)

@@ -6,9 +6,8 @@ drive the job through a file source and ``foreachBatch``, which runs the
 batch chain of ``snapshot_job``:
 
 * ``backfill=False`` (default, the reference's behaviour): a micro-batch
-  takes every new file but loads only the newest snapshot in it (latest
-  ``_metadata.file_modification_time``, then path), so older snapshots that
-  arrived in the same interval are skipped.
+  is the signal that files have arrived; it loads only the newest file of the
+  folder, by its listing, so older snapshots of the same interval are skipped.
 * ``backfill=True``: one file per micro-batch (``maxFilesPerTrigger=1``), in
   arrival order, so every snapshot is published in turn.
 
@@ -19,26 +18,24 @@ is replayed after a failure produces the same tables; the metrics of a batch
 are written under its own run id with dynamic partition overwrite, so a
 replay does not duplicate them.  An empty snapshot is skipped and the
 tables keep the previous snapshot (Q9).  A malformed snapshot (bad salary,
-bad row) fails only its own batch's job: the tables keep the previous
+bad row) is found while it is written beside the tables: they keep the previous
 snapshot, the batch is recorded in the ``rejected_snapshots`` table with the
-reason, and the stream goes on (the reference's scheduler would likewise
-fail that run and try again a minute later).  The stream's checkpoint lives
+reason, and the stream goes on.  Any other error (storage, executors, a fault of
+the job) fails the query, and the batch is replayed when it is started again.  The stream's checkpoint lives
 under ``spark.checkpoint.dir`` (a shared folder), so the query resumes
 where it stopped after a driver restart.
 """
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from statlens.operators.dept import employees
-from statlens.plans.snapshot_job import DEFAULT_PARAMS, DEFAULT_RUN_NAME, TablePaths, run_snapshot_job
+from statlens.plans.snapshot_job import DEFAULT_PARAMS, DEFAULT_RUN_NAME, SnapshotDataError, TablePaths, run_snapshot_job
 from statlens.session import checkpoint_root
-from statlens.sources.employees import EMPLOYEES_RAW_SCHEMA
+from statlens.sources.employees import EMPLOYEES_RAW_SCHEMA, read_employees_csv
 from statlens.sources.tables import EmptySnapshotError
 
 
@@ -47,6 +44,7 @@ def snapshot_stream(spark: SparkSession, snapshot_dir: str, backfill: bool = Fal
     reader = (spark.readStream
               .schema(EMPLOYEES_RAW_SCHEMA)
               .option("header", True)
+              .option("enforceSchema", False)     # a header in another order raises
               .option("mode", "FAILFAST"))
     if backfill:
         reader = reader.option("maxFilesPerTrigger", 1)
@@ -57,16 +55,19 @@ def snapshot_stream(spark: SparkSession, snapshot_dir: str, backfill: bool = Fal
     )
 
 
-def newest_snapshot(batch: DataFrame) -> DataFrame:
-    """Rows of the newest file in a micro-batch (latest modification time, then path)."""
-    newest = batch.agg(F.max_by("_file_path", F.struct("_file_time", "_file_path")).alias("p"))
-    return batch.where(F.col("_file_path") == newest.select("p").scalar())
+def newest_snapshot(spark: SparkSession, snapshot_dir: str) -> str | None:
+    """The newest file of the folder by its listing (latest modification time, then path).
+
+    It is chosen before its rows are looked at, so an older snapshot never stands
+    in for a newest file without rows.
+    """
+    files = spark.read.format("binaryFile").load(snapshot_dir).select("path", "modificationTime")
+    return files.agg(F.max_by("path", F.struct("modificationTime", "path"))).first()[0]
 
 
 def record_rejection(spark: SparkSession, root: str, run_id: str, reason: str) -> None:
-    """One row in ``rejected_snapshots``: the batch and the first line of the error."""
-    first_line = (reason.strip().splitlines() or [""])[0][:2000]
-    (spark.createDataFrame([(run_id, first_line)], "run_id string, reason string")
+    """One row in ``rejected_snapshots``: the batch and the error."""
+    (spark.createDataFrame([(run_id, reason)], "run_id string, reason string")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("run_id").parquet(TablePaths(root.rstrip("/")).rejected))
 
@@ -96,11 +97,11 @@ def start_refresh(
         session = batch.sparkSession
         run_id = f"batch-{epoch_id:08d}"
         try:
-            rows = batch if backfill else newest_snapshot(batch)
-            run_snapshot_job(session, employees(rows), root, run_id=run_id, run_name=run_name, params=params)
+            rows = employees(batch) if backfill else read_employees_csv(session, newest_snapshot(session, snapshot_dir))
+            run_snapshot_job(session, rows, root, run_id=run_id, run_name=run_name, params=params)
         except EmptySnapshotError:
             pass
-        except (PySparkException, Py4JJavaError) as err:
+        except SnapshotDataError as err:    # any other error fails the query, and the batch is replayed
             record_rejection(session, root, run_id, str(err))
 
     writer = (snapshot_stream(spark, snapshot_dir, backfill).writeStream

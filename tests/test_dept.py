@@ -33,8 +33,8 @@ def test_report_table(stats):
     rep = report_table(stats)
     assert rep.columns == ["department", "total_salary", "staff_count", "average_salary"]
     got = [tuple(r) for r in rep.collect()]
-    assert got[0] == ("finance", "22400", "4", "5600.0000")
-    assert got[2] == ("it", "60300", "7", "8614.2857")
+    assert got[0] == ("finance", "22400", "4", "5600.0")
+    assert got[2] == ("it", "60300", "7", "8614.285714285714")
     assert [g[0] for g in got] == sorted(EMPLOYEES_STATS)
 
 
@@ -51,12 +51,25 @@ def test_run_metrics_skip_null(spark):
     assert rows(run_metrics(s, "r", {}), "metric") == [("a_staff_count",)]
 
 
-@pytest.mark.parametrize("text,expected", [("2000", 2000), ("2000.7", 2000), ("-2.7", -2), (" 15 ", 15)])
+@pytest.mark.parametrize("text,expected", [("2000", 2000), ("2000.7", 2000), ("2000.9999999", 2000), ("-0.9999999", 0), ("1e3", 1000), (".5", 0), ("-2.7", -2), (" 15 ", 15)])
 def test_salary_truncates(spark, text, expected):
     df = spark.createDataFrame([(1, "x", text, "d")], "id int, name string, salary string, department string")
     assert employees(df).first()["salary"] == expected
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("value", [float("nan"), float("inf"), 1e19])
+def test_salary_out_of_range_raises(spark, ansi, value):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([(1, "x", value, "d")], "id int, name string, salary double, department string")
+        with pytest.raises(PySparkException):
+            employees(df).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+
+
 @pytest.mark.parametrize("text", ["abc", "", None])
 def test_salary_bad_raises(spark, text):
     df = spark.createDataFrame([(1, "x", text, "d")], "id int, name string, salary string, department string")

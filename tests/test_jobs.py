@@ -4,10 +4,9 @@ import os
 import uuid
 
 import pytest
-from pyspark.errors import PySparkException
 
 from fixtures import EMPLOYEES_CSV, EMPLOYEES_STATS
-from statlens.plans.snapshot_job import TablePaths, run_snapshot_job
+from statlens.plans.snapshot_job import SnapshotDataError, TablePaths, run_snapshot_job
 from statlens.sources.tables import EmptySnapshotError
 from statlens.streaming.refresh import start_refresh
 
@@ -47,7 +46,7 @@ def test_empty_and_bad_snapshots_leave_tables(spark, tmp_path):
     assert _stats(spark, root) == EMPLOYEES_STATS
     bad = tmp_path / "bad.csv"
     bad.write_text("id,name,salary,department\n1,a,abc,x\n")
-    with pytest.raises(PySparkException):
+    with pytest.raises(SnapshotDataError):
         run_snapshot_job(spark, str(bad), root, run_id="r3")
     assert _stats(spark, root) == EMPLOYEES_STATS
     assert spark.read.parquet(TablePaths(root).employees).count() == 25
