@@ -34,14 +34,15 @@ TEXT_BLOCK = 4 << 20
 
 
 def trigrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bucket, text) of every byte trigram with a letter in it, and whether each text has a letter."""
+    """(bucket, text) of every byte trigram around a letter, without digits, and whether each text has a letter."""
     joined = FOLD[np.frombuffer(b"\n\n".join(texts) + b"\n\n", np.uint8)]
     ends = np.cumsum([len(t) + 2 for t in texts])
-    word = IS_WORD[joined]
+    digit = (joined >= 48) & (joined <= 57)
+    word = IS_WORD[joined] & ~digit  # numbers, keys and addresses tell no language
     x = joined.astype(np.uint32)
     code = (x[:-2] * np.uint32(0x9E3779B1)) ^ (x[1:-1] * np.uint32(0x85EBCA6B)) ^ (x[2:] * np.uint32(0xC2B2AE35))
     bucket = ((code * np.uint32(0x27D4EB2F)) >> np.uint32(16)).astype(np.int64)
-    use = np.flatnonzero(word[1:-1] & (word[:-2] | word[2:]))
+    use = np.flatnonzero(word[1:-1] & (word[:-2] | word[2:]) & ~digit[:-2] & ~digit[2:])
     at = np.searchsorted(ends, use, side="right")
     letters = np.bincount(np.searchsorted(ends, np.flatnonzero(word), side="right"), minlength=len(texts)) > 0
     return bucket[use], at, letters
