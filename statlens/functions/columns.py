@@ -87,7 +87,8 @@ def override_value(
     codegen stage.  A DataFrame of ``(key, value)`` rows (a corrections
     table of any size) is left-joined instead; Catalyst broadcasts it when
     its estimated size is under the broadcast threshold and shuffles
-    otherwise, so no size assumption is made here.
+    otherwise, so no size assumption is made here.  In both, a NULL value sets
+    NULL and a NULL key matches nothing; a key that a table lists twice raises.
     """
     require_columns(df, [key_col, value_col])
     if isinstance(corrections, Mapping):
@@ -100,12 +101,13 @@ def override_value(
         new_value = expr.otherwise(qcol(value_col)).cast(df.schema[value_col].dataType)
         return df.withColumn(value_col, new_value)
     key_name, val_name = corrections.columns[:2]
-    # One value per key; if a key is listed twice the larger value wins, so
-    # the result does not depend on which task saw which row.
-    fix = corrections.groupBy(qcol(key_name).alias("__fix_key")).agg(F.max(qcol(val_name)).alias("__fix_value"))
+    twice = F.raise_error(F.concat(F.lit("correction listed twice: "), F.first(qcol(key_name).cast("string"))))
+    fix = corrections.where(qcol(key_name).isNotNull()).groupBy(qcol(key_name).alias("__fix_key")).agg(
+        F.when(F.count(F.lit(1)) > 1, twice).otherwise(F.max(qcol(val_name))).alias("__fix_value"))
     joined = df.join(fix, qcol(key_col) == F.col("__fix_key"), "left")
     cols = [
-        (F.coalesce(F.col("__fix_value").cast(df.schema[value_col].dataType), qcol(value_col)).alias(value_col)
+        (F.when(F.col("__fix_key").isNotNull(), F.col("__fix_value").cast(df.schema[value_col].dataType))
+         .otherwise(qcol(value_col)).alias(value_col)
          if c == value_col else qcol(c))
         for c in df.columns
     ]

@@ -193,6 +193,11 @@ def test_override_with_table(spark):
     assert got == {"A": 1.0, "B": 9.5}
     got2 = {r["Country"]: r["v"] for r in override_value(df, "Country", "v", {"A": 0.5}).collect()}
     assert got2 == {"A": 0.5, "B": 2.0}
+    nulls = spark.createDataFrame([("B", None), (None, 7.0), (None, 8.0)], "k string, val double")
+    for fix in (nulls, {"B": None}):
+        assert {r["Country"]: r["v"] for r in override_value(df, "Country", "v", fix).collect()} == {"A": 1.0, "B": None}
+    with pytest.raises(Exception, match="correction listed twice: B"):
+        override_value(df, "Country", "v", fixes.union(fixes)).collect()
 
 
 def test_nan_counts_as_missing(spark):
