@@ -20,6 +20,8 @@ import json
 import re
 import zlib
 from bisect import bisect_left, insort
+from functools import lru_cache
+from operator import add
 from typing import Iterator
 
 import numpy as np
@@ -28,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statlens.llm.common import bounded_batches, staged
+from statlens.llm.textvec import slices
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY, END_ID = 4096, 1
@@ -42,13 +45,16 @@ class WordTokenizer:
     """Token ids of texts as little-endian uint32 bytes, with the words' ids kept from text to text.
 
     The vocabulary never merges across white space, so a text's ids are those of
-    its blank-separated words.  Plain words (Latin letters, maybe one punctuation
-    mark) skip the file's normaliser and splitter, which change only their case;
-    all others take the whole tokenizer.
+    its blank-separated words.  Plain words (Latin letters, then maybe a run of
+    ASCII punctuation without an apostrophe) skip the file's normaliser and
+    splitter, which change only their case and part the run from the letters; all
+    others take the whole tokenizer.
     """
 
-    KEPT = 400_000
-    PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
+    #: Words and bytes of one generation of kept words; the one before it is kept too.
+    KEPT, KEPT_BYTES = 450_000, 16 << 20
+    #: A plain word's letters and punctuation, line by line; two empty strings for another word.
+    PLAIN = re.compile(r"^(?:([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|.*)$", re.M)
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -64,49 +70,69 @@ class WordTokenizer:
         vocab = self.whole.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.words: dict[bytes, bytes] = {}
-        self.stems: dict[str, bytes] = {}
-
-    def _bytes(self, ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
-
-    def _add(self, missing: list[bytes]) -> None:
-        plain, other = [], []
-        for w in missing:
-            m = self.PLAIN.fullmatch(w.decode("utf-8", "surrogatepass"))
-            plain.append((w, m[1].lower(), m[2])) if m else other.append(w)
-        new = list({x for _, s, p in plain for x in (s, p) if x and x not in self.stems})
+        self.words: dict[bytes, bytes]
+        self.before: dict[bytes, bytes]
+        self.stems: dict[str, bytes]
+        self.forget()
+
+    def _encode(self, missing: list[bytes]) -> list[bytes]:
+        lines = b"\n".join(missing)
+        self.bytes += len(lines)
+        stem, mark = zip(*self.PLAIN.findall(lines.decode("utf-8", "surrogatepass").lower()))
+        new = list(set(stem).union(mark).difference(self.stems))
         for i in range(0, len(new), 512):
             part = new[i:i + 512]
-            ids = np.array(self.bare.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1
+            ids = np.array(self.bare.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            raw, cuts = ids.tobytes(), ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
             assert len(cuts) == len(part)
-            self.stems.update(zip(part, (x.tobytes() for x in np.split(ids, cuts[:-1]))))
-        for w, s, p in plain:
-            self.words[w] = self.stems[s] + (self.stems[p] if p else b"")
+            self.stems.update(zip(part, [raw[a:b] for a, b in zip([0, *cuts], cuts)]))
+        out = list(map(add, map(self.stems.__getitem__, stem), map(self.stems.__getitem__, mark)))
+        other = [k for k, s in enumerate(stem) if not s]
         if other:
-            found = self.whole.encode_batch([w.decode("utf-8", "surrogatepass") for w in other], add_special_tokens=False)
-            self.words.update((w, self._bytes(e.ids)) for w, e in zip(other, found))
+            found = self.whole.encode_batch_fast([missing[k].decode("utf-8", "surrogatepass") for k in other], add_special_tokens=False)
+            for k, e in zip(other, found):
+                out[k] = np.array(e.ids, "<u4").tobytes()
+        return out
+
+    def _learn(self, missing: set[bytes]) -> None:
+        """Take ``missing`` words from the generation before, or encode them."""
+        new = list(missing.difference(self.before))
+        again = missing.difference(new)
+        self.words.update(zip(again, map(self.before.__getitem__, again)))
+        if new:
+            self.words.update(zip(new, self._encode(new)))
+
+    def forget(self) -> None:
+        self.words, self.before, self.stems, self.bytes = {}, {}, {"": b""}, 0
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
-        step = 64
-        for i in range(0, len(texts), step):
-            if len(self.words) > self.KEPT:
-                self.words, self.stems = {}, {}
-            split = [t.encode("utf-8", "surrogatepass").split() for t in texts[i:i + step]]
+        texts = [t.encode("utf-8", "surrogatepass") for t in texts]
+        for part in slices(list(map(len, texts)), 1 << 20):
+            split = [t.split() for t in texts[part]]
+            if len(self.words) > self.KEPT or self.bytes > self.KEPT_BYTES:
+                self.before, self.words, self.stems, self.bytes = self.words, {}, {"": b""}, 0
             missing = set().union(*split).difference(self.words)
             if missing:
-                self._add(list(missing))
-            for w in split:
+                self._learn(missing)
+            for k, w in enumerate(split):
+                split[k] = None
                 yield b"".join(map(self.words.__getitem__, w))
 
 
+@lru_cache(maxsize=1)
+def word_tokenizer(name: str) -> WordTokenizer:
+    """The tokenizer that a Python worker keeps from task to task."""
+    import public_tokenizers
+
+    return WordTokenizer(public_tokenizers.path(name))
+
+
 def token_pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """The pieces of every row of ``docs``; a null text counts as empty (its one token is ``end_id``)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import public_tokenizers
-
-        words, end = WordTokenizer(public_tokenizers.path(tokenizer)), np.array([end_id], "<u4").tobytes()
+        words = word_tokenizer(tokenizer)
+        words.forget()
+        end = np.array([end_id], "<u4").tobytes()
         for b in batches:
             rows = []
             for doc, ids in zip(b["doc_id"], words.ids(b["t"].tolist())):
