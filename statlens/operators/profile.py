@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import NumericType, StringType
 
 from statlens.functions.columns import qcol, quote, require_columns, sql_str
 
@@ -47,27 +47,36 @@ def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def numeric_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
-
-
 def profile(
     df: DataFrame,
     cols: Sequence[str] | None = None,
     accuracy: int = 10000,
     round_to: int | None = None,
 ) -> DataFrame:
-    """Typed long profile ``column_name, statistic, value``.
-
-    The statistics of ``DataFrame.summary()``: count, mean, sample stddev,
-    min, approximate 25/50/75 % (``percentile_approx``, elements of the data,
-    Q18) and max, as doubles instead of strings.  ``round_to`` rounds mean
-    and stddev, whose last bits depend on summation order.
+    """Typed long profile ``column_name, statistic, value, text``.
+
+    The statistics of ``DataFrame.summary()`` for its columns, the numeric and the
+    string ones.  A numeric column has count, mean, sample stddev, min, approximate
+    25/50/75 % (``percentile_approx``, elements of the data, Q18) and max, as doubles
+    in ``value``.  A string column has its count in ``value`` and its min and max in
+    ``text``; its other statistics aren't defined and have no row.  ``round_to``
+    rounds mean and stddev, whose last bits depend on summation order.
     """
-    cols = list(cols) if cols is not None else numeric_columns(df)
+    profiled = {f.name: f.dataType for f in df.schema.fields if isinstance(f.dataType, (NumericType, StringType))}
+    cols = list(cols) if cols is not None else list(profiled)
     require_columns(df, cols)
     items = []
+
+    def row(column: str, statistic: str, value: str = "NULL", text: str = "NULL") -> None:
+        items.append(f"named_struct('column_name', {sql_str(column)}, 'statistic', {sql_str(statistic)}, "
+                     f"'value', CAST({value} AS DOUBLE), 'text', CAST({text} AS STRING))")
+
     for c in cols:
+        if isinstance(profiled.get(c), StringType):
+            row(c, "count", f"count({quote(c)})")
+            row(c, "min", text=f"min({quote(c)})")
+            row(c, "max", text=f"max({quote(c)})")
+            continue
         x = f"CAST({quote(c)} AS DOUBLE)"
         q = f"percentile_approx({x}, array(0.25D, 0.5D, 0.75D), {int(accuracy)})"
         mean, sd = f"avg({x})", f"stddev_samp({x})"
@@ -75,8 +84,9 @@ def profile(
             mean, sd = f"round({mean}, {int(round_to)})", f"round({sd}, {int(round_to)})"
         values = [f"count({x})", mean, sd, f"min({x})", f"{q}[0]", f"{q}[1]", f"{q}[2]", f"max({x})"]
         for name, v in zip(PROFILE_STATS, values):
-            items.append(f"named_struct('column_name', {sql_str(c)}, 'statistic', {sql_str(name)}, "
-                         f"'value', CAST({v} AS DOUBLE))")
+            row(c, name, v)
+    if not items:
+        return df.sparkSession.createDataFrame([], "column_name string, statistic string, value double, text string")
     return df.agg(F.expr(f"array({', '.join(items)})").alias("r")).select(F.inline("r"))
 
 

@@ -204,7 +204,7 @@ def q_schema_report(spark, sf):
 
 
 def q_profile_summary(spark, sf):
-    return profile.profile(table(spark, sf, "customer"), ["c_custkey", "c_nationkey", "c_acctbal"], round_to=6)
+    return profile.profile(table(spark, sf, "customer"), round_to=6)
 
 
 def q_employees_snapshot(spark, sf):
@@ -376,7 +376,12 @@ def _profile_sql() -> str:
             ("max", f"max({x})"),
         ]
         for name, e in stats_:
-            parts.append(f"SELECT '{c}' AS column_name, '{name}' AS statistic, CAST({e} AS DOUBLE) AS value FROM customer")
+            parts.append(f"SELECT '{c}' AS column_name, '{name}' AS statistic, CAST({e} AS DOUBLE) AS value, "
+                         "CAST(NULL AS VARCHAR) AS text FROM customer")
+    for c in ["c_name", "c_mktsegment"]:
+        for name, value, text in (("count", f"count({c})", "NULL"), ("min", "NULL", f"min({c})"), ("max", "NULL", f"max({c})")):
+            parts.append(f"SELECT '{c}' AS column_name, '{name}' AS statistic, CAST({value} AS DOUBLE) AS value, "
+                         f"CAST({text} AS VARCHAR) AS text FROM customer")
     return "\nUNION ALL ".join(parts)
 
 

@@ -16,6 +16,7 @@ from fixtures import (
 from statlens.functions.columns import override_value, rename_checked
 from statlens.operators import clean
 from statlens.operators.clean import CONTINENTS, INCOME_GROUPS
+from statlens.operators.profile import profile
 from statlens.plans.analysis import indicator_analysis
 
 LIFE, POV, POP = "Life expectancy", "Share in extreme poverty", "Population"
@@ -169,6 +170,21 @@ def test_profiles(results, brute):
     assert prof[(LIFE, "stddev")] == pytest.approx(pov[LIFE].std(ddof=1))
     assert prof[(POV, "max")] == pov[POV].max()
     assert prof[(POV, "50%")] in set(pov[POV])     # approximate percentile is an element (Q18)
+    texts = {(r["column_name"], r["statistic"]): r["text"] for r in results["poverty_profile"].collect()}
+    assert prof[("Country", "count")] == len(pov)
+    assert texts[("Country", "min")] == pov.Country.min() and texts[("Country", "max")] == pov.Country.max()
+    assert ("Country", "mean") not in prof and texts[(LIFE, "min")] is None
+
+
+def test_profile_of_empty_and_null_columns(spark):
+    df = spark.createDataFrame([(None, None, None), (None, "", True)], "`a.b` double, s string, flag boolean")
+    rows = {(r["column_name"], r["statistic"]): (r["value"], r["text"]) for r in profile(df).collect()}
+    assert rows[("a.b", "count")] == (0.0, None) and rows[("a.b", "mean")] == (None, None)
+    assert rows[("s", "count")] == (1.0, None) and rows[("s", "max")] == (None, "")
+    assert not any(c == "flag" for c, _ in rows)          # summary() leaves it out too
+    empty = {(r["column_name"], r["statistic"]): (r["value"], r["text"]) for r in profile(df.limit(0)).collect()}
+    assert empty[("s", "count")] == (0.0, None) and empty[("s", "min")] == (None, None)
+    assert profile(df.select("flag")).collect() == []
 
 
 def test_rename_checked_and_quoting(spark):
