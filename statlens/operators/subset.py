@@ -159,12 +159,24 @@ def quartile_and_mean(
     )
 
 
+def subset_count(df: DataFrame) -> DataFrame:
+    """One row: how many rows the subset has (A5)."""
+    return df.agg(F.count(F.lit(1)).alias("n"))
+
+
+def subset_names(df: DataFrame, label_col: str) -> DataFrame:
+    """The subset's labels as rows, sorted (A6): for subsets of any size."""
+    require_columns(df, [label_col])
+    return df.select(qcol(label_col).alias("name")).orderBy("name")
+
+
 def subset_report(df: DataFrame, label_col: str, sep: str = ", ") -> DataFrame:
     """One row: how many rows the subset has and their labels.
 
     Labels are sorted (Q15: the reference lists them in file order, which a
     distributed frame does not have).  The list is one value, so this is for
-    label-sized subsets (countries), which is what it reports.
+    label-sized subsets (countries); ``subset_names`` and ``subset_count`` are for
+    larger ones.
     """
     require_columns(df, [label_col])
     return df.agg(

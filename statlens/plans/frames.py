@@ -18,7 +18,8 @@ Plan, chosen for 100 TB inputs:
 2. It is pre-aggregated on ``(foreign key, year)`` before any join.  Partial
    aggregation in the scan tasks collapses a hot customer or supplier (one
    key with a third of all rows) into one row per task, and the join input
-   shrinks to at most one row per key and year.
+   shrinks to at most one row per key and year.  For one year the shuffle is by
+   the key alone and serves the join too.
 3. The customer/supplier join is an equi-join left to Catalyst/AQE
    (broadcast when that side is measured small, sort-merge otherwise), and
    the result is aggregated per (nation key, year) right away.  Sums are
@@ -71,17 +72,22 @@ def _rollup(per_nation: DataFrame, measures: list[str], finals: list[str]) -> Da
     )
 
 
-def _per_key_year(fact: DataFrame, key: str, date: str, value: str, alias: str) -> DataFrame:
-    """Exact sum and count of ``value`` per (foreign key, year): partial aggregation first."""
-    return fact.groupBy(F.col(key), F.expr(f"CAST(year({date}) AS INT) AS Year")).agg(
-        F.expr(f"sum(CAST({value} AS {MONEY})) AS {alias}"), F.expr("count(1) AS n")
-    )
+def _per_key_year(fact: DataFrame, key: str, date: str, value: str, alias: str, year: int | None) -> DataFrame:
+    """Exact sum and count of ``value`` per (foreign key, year): partial aggregation first.
+
+    Where ``fact`` holds one year only, that year is a literal and the rows are
+    grouped, and so shuffled, by the key alone: the join on the key needs no
+    second shuffle.
+    """
+    keys = [F.col(key)] if year is not None else [F.col(key), F.expr(f"CAST(year({date}) AS INT) AS Year")]
+    out = fact.groupBy(*keys).agg(F.expr(f"sum(CAST({value} AS {MONEY})) AS {alias}"), F.expr("count(1) AS n"))
+    return out if year is None else out.withColumn("Year", F.lit(int(year)))
 
 
 def entity_frame(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     """``Entity, Year, v, b, pop`` from orders x customer x nation x region."""
     orders = _year_range(table(spark, sf_dir, "orders"), "o_orderdate", year)
-    per_customer = _per_key_year(orders, "o_custkey", "o_orderdate", "o_totalprice", "s_price")
+    per_customer = _per_key_year(orders, "o_custkey", "o_orderdate", "o_totalprice", "s_price", year)
     customer = table(spark, sf_dir, "customer").selectExpr(
         "c_custkey", "c_nationkey", f"CAST(c_acctbal AS {MONEY}) AS acct"
     )
@@ -99,7 +105,7 @@ def entity_frame(spark: SparkSession, sf_dir: str, year: int | None = None) -> D
 def index_frame(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     """``Entity, Year, q`` from lineitem x supplier x nation x region."""
     lines = _year_range(table(spark, sf_dir, "lineitem"), "l_shipdate", year)
-    per_supplier = _per_key_year(lines, "l_suppkey", "l_shipdate", "l_quantity", "s_qty")
+    per_supplier = _per_key_year(lines, "l_suppkey", "l_shipdate", "l_quantity", "s_qty", year)
     supplier = table(spark, sf_dir, "supplier").selectExpr("s_suppkey", "s_nationkey")
     per_nationkey = (
         per_supplier.join(supplier, F.expr("l_suppkey = s_suppkey"))

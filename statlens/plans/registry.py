@@ -156,6 +156,14 @@ def q_subset_report(spark, sf):
     return subset.subset_report(medians, "Country")
 
 
+def q_subset_names(spark, sf):
+    return subset.subset_names(subset.lower_quartile(table(spark, sf, "customer"), "c_acctbal"), "c_name")
+
+
+def q_subset_count(spark, sf):
+    return subset.subset_count(subset.lower_quartile(table(spark, sf, "customer"), "c_acctbal"))
+
+
 def q_indicator_join(spark, sf):
     return joined(spark, sf)
 
@@ -246,6 +254,8 @@ QUERIES: dict[str, Query] = {
     "upper_quartile": q_upper_quartile,
     "quartile_and_mean": q_quartile_and_mean,
     "subset_report": q_subset_report,
+    "subset_names": q_subset_names,
+    "subset_count": q_subset_count,
     "indicator_join": q_indicator_join,
     "reference_lines": q_reference_lines,
     "group_comparison": q_group_comparison,
@@ -417,6 +427,10 @@ FROM customer""",
     "WHERE c_acctbal >= (SELECT quantile_cont(c_acctbal, 0.75) FROM customer)",
     "quartile_and_mean": W_J
     + "SELECT Country, q, v FROM j WHERE q >= (SELECT quantile_cont(q, 0.75) FROM j) AND v > (SELECT avg(v) FROM j)",
+    "subset_names": "SELECT c_name AS name FROM customer "
+    "WHERE c_acctbal <= (SELECT quantile_cont(c_acctbal, 0.25) FROM customer)",
+    "subset_count": "SELECT count(*) AS n FROM customer "
+    "WHERE c_acctbal <= (SELECT quantile_cont(c_acctbal, 0.25) FROM customer)",
     "subset_report": W_ENT_K
     + """SELECT count(*) AS n, coalesce(string_agg(Country, ', ' ORDER BY Country), '') AS names FROM ent_k
 WHERE v > (SELECT median(v) FROM ent_k) AND b > (SELECT median(b) FROM ent_k)""",
