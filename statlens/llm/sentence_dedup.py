@@ -1,12 +1,14 @@
 """Substring dedup by sliding sentence spans.
 
-From every sentence on, the shortest run of at least ``SENTENCES`` consecutive
-sentences with at least ``WORDS`` words is a span; it is hashed over its words
-(A-Z lower-cased, punctuation aside).  Spans are joined globally by their
-128-bit hash, and sentences covered by a span that is not the first of its kind
-(smallest id, then place) are removed.  A minimum of words keeps chance repeats
-of a few short sentences from counting; sentences of more than ``LONG`` words
-are cut every ``CUT`` words from their start.
+For every sentence, the shortest runs of at least ``SENTENCES`` consecutive
+sentences with at least ``WORDS`` words that begin and that end with it are
+spans; a span is hashed over its words (A-Z lower-cased, punctuation aside).
+Spans are joined globally by their 128-bit hash, and sentences covered by a span
+that is not the first of its kind (smallest id, then place) are removed.  Any
+run that meets the minimum is covered by the spans inside it, so every repeated
+run goes to its last sentence.  A minimum of words keeps chance repeats of a few
+short sentences from counting; sentences of more than ``LONG`` words are cut
+every ``CUT`` words from their start.
 
 The first pass counts span hashes (partial aggregation before the shuffle) and
 builds a sieve; only spans that may repeat are then written with their places.
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import accumulate
 from typing import Iterator
 
 import numpy as np
@@ -66,16 +69,23 @@ def sentences(text: bytes) -> tuple[list[int], list[list[bytes]]]:
 
 
 def spans(words: list[list[bytes]], least: int = SENTENCES, least_words: int = WORDS) -> Iterator[tuple[int, int, bytes]]:
-    """(first, last + 1, words) of the span from every sentence on that has one."""
-    j, total, n = 0, 0, len(words)
-    for i in range(n):
-        while j < n and (j - i < least or total < least_words):
-            total += len(words[j])
+    """(first, last + 1, words) of the shortest spans that begin and that end with each sentence, in order, each once."""
+    total, n = [0, *accumulate(map(len, words))], len(words)
+    joined, found, j = [b" ".join(w) for w in words], [], 0
+    for i in range(n):  # the shortest from i on
+        while j < n and (j - i < least or total[j] - total[i] < least_words):
             j += 1
-        if j - i < least or total < least_words:
-            return
-        yield i, j, b"\n".join(b" ".join(w) for w in words[i:j])
-        total -= len(words[i])
+        if j - i < least or total[j] - total[i] < least_words:
+            break
+        found.append((i, j))
+    i = 0
+    for j in range(least, n + 1):  # the shortest up to j
+        while j - i > least and total[j] - total[i + 1] >= least_words:
+            i += 1
+        if total[j] - total[i] >= least_words:
+            found.append((i, j))
+    for i, j in sorted(set(found)):
+        yield i, j, b"\n".join(joined[i:j])
 
 
 def repeated_sentences(spark: SparkSession, docs: DataFrame, least: int = SENTENCES, least_words: int = WORDS) -> DataFrame:
