@@ -7,8 +7,11 @@ Spans are joined globally by their 128-bit hash, and sentences covered by a span
 that is not the first of its kind (smallest id, then place) are removed.  Any
 run that meets the minimum is covered by the spans inside it, so every repeated
 run goes to its last sentence.  A minimum of words keeps chance repeats of a few
-short sentences from counting; sentences of more than ``LONG`` words are cut
-every ``CUT`` words from their start.
+short sentences from counting.
+
+Sentences of more than ``LONG`` words are cut where their words say so (see
+``cuts``), so a passage inside longer text without stops is cut alike wherever
+it stands.
 
 The first pass counts span hashes (partial aggregation before the shuffle) and
 builds a sieve; only spans that may repeat are then written with their places.
@@ -32,9 +35,31 @@ from statlens.llm.decontaminate import _TABLE
 from statlens.llm.sieve import passes, sieve
 from statlens.llm.suffix_dedup import hashes64, hashes128, keyed, merged, parts, with_text
 
-SENTENCES, WORDS, LONG, CUT = 2, 12, 40, 20
+SENTENCES, WORDS, LONG, CUT, NEAR = 2, 12, 40, 20, 3
 _SENTENCE = re.compile(rb"[^.!?\n]*(?:[.!?\n]+\s*|$)")
-_WORD = re.compile(rb"\S+\s*")
+_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+[^0-9A-Za-z\x80-\xff]*")
+
+
+def cuts(words: list[bytes]) -> list[int]:
+    """Places where a long sentence is cut: after the word whose hash is the smallest of the ``NEAR`` words on each side.
+
+    Such a cut depends on these words alone.  Between cuts that are more than
+    ``LONG`` words apart (a few words said over and over) the text is cut after
+    the smallest of the last ``NEAR`` + 1 of each ``CUT`` words.
+    """
+    h = hashes64(words)
+    n = len(h) - 2 * NEAR
+    low = np.ones(max(n, 0), bool)
+    for k in range(1, NEAR + 1):
+        low &= (h[NEAR:NEAR + n] < h[NEAR - k:NEAR - k + n]) & (h[NEAR:NEAR + n] <= h[NEAR + k:NEAR + k + n])
+    out, at = [], 0
+    for end in [*(np.flatnonzero(low) + NEAR + 1).tolist(), len(words)]:
+        while end - at > LONG:
+            at += CUT - NEAR + int(np.argmin(h[at + CUT - NEAR - 1:at + CUT]))
+            out.append(at)
+        out.append(end)
+        at = end
+    return out
 
 
 def sentences(text: bytes) -> tuple[list[int], list[list[bytes]]]:
@@ -56,15 +81,10 @@ def sentences(text: bytes) -> tuple[list[int], list[list[bytes]]]:
         if len(w) <= LONG:
             add(m.end(), w)
             continue
-        part, n = [], 0
-        for x in _WORD.finditer(m[0]):
-            part += x[0].translate(_TABLE).split()
-            n += 1
-            if n == CUT:
-                add(m.start() + x.end(), part)
-                part, n = [], 0
-        if n or ends[-1] != m.end():
-            add(m.end(), part)
+        after, at = [m.start() + x.end() for x in _WORD.finditer(m[0])], 0
+        for end in cuts(w):
+            add(after[end - 1], w[at:end])
+            at = end
     return ends, words
 
 
