@@ -68,6 +68,30 @@ def ascii_lower(text: Column) -> Column:
     )
 
 
+def text_key(text: str = "text") -> dict[str, Column]:
+    """``t1, t2``: 128 bits that stand for a text; null counts as empty."""
+    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    return {"t1": F.xxhash64(F.lit(1), t), "t2": F.xxhash64(F.lit(2), t)}
+
+
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
+    """``given, d, t1, t2``: whether a row has an id, the id (0: none) and its text's key; none is null."""
+    i = F.col(id_col).cast("long")
+    return [i.isNotNull().alias("given"), F.coalesce(i, F.lit(0).cast("long")).alias("d"), *(v.alias(k) for k, v in text_key(text_col).items())]
+
+
+def drop_rows(docs: DataFrame, gone: DataFrame, key: dict[str, Column]) -> DataFrame:
+    """Rows of ``docs`` whose id and ``key`` are not in ``gone`` (``doc_id`` and the key's columns); a null id equals a null id.
+
+    So a decision holds for an id and its text: other texts under the same id, or without one, stay.
+    """
+    other = gone.select(*(F.col(k).alias(f"__{k}") for k in ("doc_id", *key))).distinct()
+    on = docs["doc_id"].eqNullSafe(other["__doc_id"])
+    for k, v in key.items():
+        on &= v == other[f"__{k}"]
+    return docs.join(other, on, "left_anti")
+
+
 def keep_rows(docs: DataFrame, ids: DataFrame, column: str = "doc_id", keep: bool = True) -> DataFrame:
     """Rows of ``docs`` whose id is (``keep``) or is not in ``ids``; a null id equals a null id."""
     other = ids.select(F.col(column).alias("__id")).distinct()

@@ -27,13 +27,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlens.llm.common import bounded_batches, keep_rows, staged
+from statlens.llm.common import bounded_batches, drop_rows, row_key, staged, text_key
 from statlens.llm.textvec import FOLD, IS_WORD, U64, shingles, slices, words
 
 WORDS, THRESHOLD, BINS = 5, 0.8, 4
 #: Bytes of item text in a block, and of document text that a task hashes at once.
 ITEM_BLOCK, TEXT_BLOCK = 16 << 20, 4 << 20
-MATCHES = "doc_id long, item_id long, shared long, item_shingles long, containment double"
+MATCHES = "given boolean, d long, t1 long, t2 long, item_id long, shared long, item_shingles long, containment double"
 
 _TABLE = bytes(np.where(IS_WORD, FOLD, 32).astype(np.uint8))
 
@@ -94,19 +94,11 @@ class Items:
                     yield ids[part][k], self.ids[i], shared, all_, shared / all_
 
 
-def contained_items(spark: SparkSession, docs: DataFrame, items: DataFrame, size: int = WORDS,
-                    threshold: float = THRESHOLD, block: int = ITEM_BLOCK) -> DataFrame:
-    """``doc_id, item_id, shared, item_shingles, containment``: a row per document and item that it contains.
-
-    An item is contained when at least ``threshold`` of its distinct shingles
-    are in the document.  Items with fewer than ``size`` words (empty and null
-    ones too) have no shingle and are contained nowhere; a null or empty document
-    contains nothing; rows without an id take no part.  Repeated rows give the
-    row once.  Empty tables give an empty result; other columns are not read.
-    """
+def matches(spark: SparkSession, docs: DataFrame, items: DataFrame, size: int = WORDS,
+            threshold: float = THRESHOLD, block: int = ITEM_BLOCK) -> DataFrame:
+    """The ``row_key`` of every row that contains an item, with ``item_id, shared, item_shingles, containment``."""
     bounded_batches(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("t")).where(
-        "doc_id IS NOT NULL AND length(t) > 0")
+    docs = docs.select(*row_key(), F.col("text").cast("string").alias("t")).where("length(t) > 0")
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("t")).where(
         "item_id IS NOT NULL AND length(t) > 0").distinct()
     volume = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
@@ -119,15 +111,32 @@ def contained_items(spark: SparkSession, docs: DataFrame, items: DataFrame, size
         def run(batches: Iterator[pd.DataFrame], stated=stated) -> Iterator[pd.DataFrame]:
             block = Items(*stated.value, size, threshold)
             for b in batches:
-                found = list(block.search(b["doc_id"].tolist(), [t.encode("utf-8", "surrogatepass") for t in b["t"]]))
-                yield pd.DataFrame(found, columns=["doc_id", "item_id", "shared", "item_shingles", "containment"])
+                found = list(block.search(list(range(len(b))), [t.encode("utf-8", "surrogatepass") for t in b["t"]]))
+                found = pd.DataFrame(found, columns=["row", "item_id", "shared", "item_shingles", "containment"])
+                key = b[["given", "d", "t1", "t2"]].iloc[found["row"].tolist()].reset_index(drop=True)
+                yield pd.concat([key, found.drop(columns="row")], axis=1)
 
         part = docs.mapInPandas(run, MATCHES)
         out = part if out is None else out.union(part)
-    return out.distinct()
+    return out
+
+
+def contained_items(spark: SparkSession, docs: DataFrame, items: DataFrame, size: int = WORDS,
+                    threshold: float = THRESHOLD, block: int = ITEM_BLOCK) -> DataFrame:
+    """``doc_id, item_id, shared, item_shingles, containment``: a row per document and item that it contains.
+
+    An item is contained when at least ``threshold`` of its distinct shingles
+    are in the document.  Items with fewer than ``size`` words (empty and null
+    ones too) have no shingle and are contained nowhere; a null or empty document
+    contains nothing; documents without an id give rows with a null; items
+    without an id take no part.  Equal rows are given once.  Empty tables give
+    an empty result; other columns are not read.
+    """
+    found = matches(spark, docs, items, size, threshold, block)
+    return found.selectExpr("if(given, d, NULL) AS doc_id", "item_id", "shared", "item_shingles", "containment").distinct()
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that contain no item, with all their columns."""
-    gone = staged(spark, contained_items(spark, docs, items).select("doc_id").distinct(), "leaks")
-    return keep_rows(docs, gone, keep=False)
+    """The rows of ``docs`` that contain no item, with all their columns; rows without an id are searched like others."""
+    gone = staged(spark, matches(spark, docs, items).selectExpr("if(given, d, NULL) AS doc_id", "t1", "t2").distinct(), "leaks")
+    return drop_rows(docs, gone, text_key())

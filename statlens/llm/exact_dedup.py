@@ -20,7 +20,7 @@ from itertools import count
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlens.llm.common import ascii_lower, keep_rows, staged
+from statlens.llm.common import ascii_lower, drop_rows, staged
 
 MIN_CHUNK, MAX_CHUNK = 512, 8192
 #: Content that ends a chunk: a vowel, one of r-t, then a space (or a line's end).
@@ -75,5 +75,6 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id
 def drop_exact_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``exact_duplicates`` keeps, with all their columns."""
     found = exact_duplicates(spark, docs)
-    gone = staged(spark, found.where("NOT kept").select("doc_id"), "copies")
-    return keep_rows(docs, gone, keep=False)
+    gone = staged(spark, found.where("NOT kept").select("doc_id", "text_sha256"), "copies")
+    text = ascii_lower(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    return drop_rows(docs, gone, {"text_sha256": F.sha2(text, 256)})

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlens.llm.common import bounded_batches, keep_rows, staged
+from statlens.llm.common import bounded_batches, drop_rows, row_key, staged, text_key
 from statlens.llm.textvec import FOLD, IS_WORD, slices
 
 SAMPLE, BUCKETS, SMOOTHING, EFFECTIVE = 8000, 1 << 16, 0.05, 100
@@ -83,7 +83,7 @@ def fit(spark: SparkSession, docs: DataFrame, sample: int = SAMPLE) -> tuple[lis
 
 
 def text_scores(spark: SparkSession, docs: DataFrame, table: np.ndarray) -> DataFrame:
-    """``doc_id, ll, letters``: tempered log likelihoods by language and, last, under ``und``."""
+    """``given, d, t1, t2`` (see ``row_key``)``, ll, letters``: tempered log likelihoods by language and, last, under ``und``."""
     model = spark.sparkContext.broadcast(np.vstack([table, np.full(BUCKETS, -np.log(BUCKETS))]).astype(np.float32))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -95,10 +95,10 @@ def text_scores(spark: SparkSession, docs: DataFrame, table: np.ndarray) -> Data
                 n = np.bincount(at, minlength=len(own))
                 ll = np.stack([np.bincount(at, row[bucket], minlength=len(own)) for row in model.value], axis=1)
                 ll *= (np.minimum(n, EFFECTIVE) / np.maximum(n, 1))[:, None]
-                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[part].to_numpy(), "ll": list(ll), "letters": letters})
+                yield b[["given", "d", "t1", "t2"]].iloc[part].assign(ll=list(ll), letters=letters)
 
-    rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("t"))
-    return rows.mapInPandas(run, "doc_id long, ll array<double>, letters boolean")
+    rows = docs.select(*row_key(), F.coalesce("text", F.lit("")).alias("t"))
+    return rows.mapInPandas(run, "given boolean, d long, t1 long, t2 long, ll array<double>, letters boolean")
 
 
 def softmax(log: str) -> str:
@@ -108,27 +108,35 @@ def softmax(log: str) -> str:
 
 
 def identify(spark: SparkSession, docs: DataFrame, web: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``doc_id, lang, posterior, kept`` of every row of ``docs`` (``doc_id, text, lang, source``) with an id.
+    """``doc_id, lang, posterior, kept`` of every row of ``docs`` (``doc_id, text, lang, source``).
 
     ``web`` has at most one row by ``doc_id``: ``declared``, ``suffix``, ``domain``,
     ``host`` (any may be null).  Without a host the source stands for it; a null
     is a value like any other.  Null and empty texts have no letter: lang ``und``,
-    rejected.  Rows that repeat an id are judged one by one.  Without a labelled
-    row there is no language, and all are ``und``.  An empty table gives an empty
-    result; other columns are not read.
+    rejected.  Rows that repeat an id are judged one by one; rows without an id
+    too, by their text and source.  Without a labelled row there is no language,
+    and all are ``und``.  An empty table gives an empty result; other columns are
+    not read.
     """
+    return judged(spark, docs, web, sample).select("doc_id", "lang", "posterior", "kept")
+
+
+def judged(spark: SparkSession, docs: DataFrame, web: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """What ``identify`` returns, and the key ``t1, t2`` of each row's text."""
     bounded_batches(spark)
     langs, table = fit(spark, docs, sample)
     n, names = len(langs), ", ".join(f"'{x}'" for x in [*langs, "und"])
     scores = staged(spark, text_scores(spark, docs, table), "scores")
-    about = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("d_"), "source").groupBy("d_").agg(F.min("source").alias("source"))
+    own = "if(given, 0L, t1)", "if(given, 0L, t2)"  # without an id a text stands for itself
+    about = docs.select(*row_key(), "source").selectExpr("given AS g_", "d AS d_", f"{own[0]} AS o1", f"{own[1]} AS o2", "source")
+    about = about.groupBy("g_", "d_", "o1", "o2").agg(F.min("source").alias("source"))
     web = web.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("w_"), "declared", "suffix", "domain", "host")
-    known = about.join(web, F.expr("d_ = w_"), "left")
-    known = known.selectExpr("d_", "lower(declared) AS declared", "coalesce(suffix, '-') AS suffix",
+    known = about.join(web, F.expr("g_ AND d_ = w_"), "left")
+    known = known.selectExpr("g_", "d_", "o1", "o2", "lower(declared) AS declared", "coalesce(suffix, '-') AS suffix",
                              "coalesce(domain, '-') AS domain", "coalesce(host, concat('-', source), '-') AS host")
     prior = f"transform(ll, (x, i) -> x + if(i = {n}, ln({UND_PRIOR}D), ln({(1 - UND_PRIOR) / max(n, 1)}D)))"
-    rows = scores.join(known, F.expr("doc_id = d_")).withColumn("post", F.expr(softmax(prior)))
-    rows = staged(spark, rows.drop("d_"), "evidence")
+    rows = scores.join(known, F.expr(f"given = g_ AND d = d_ AND {own[0]} = o1 AND {own[1]} = o2")).withColumn("post", F.expr(softmax(prior)))
+    rows = staged(spark, rows.drop("g_", "d_", "o1", "o2"), "evidence")
 
     sums = [F.sum(F.expr(f"post[{i}]")).alias(f"n{i}") for i in range(n + 1)]
     again = [F.sum(f"n{i}").alias(f"n{i}") for i in range(n + 1)]
@@ -157,7 +165,7 @@ def identify(spark: SparkSession, docs: DataFrame, web: DataFrame, sample: int =
     fused = fused.withColumn("log", F.expr("transform(ll, (x, i) -> x + web[i] + said[i])"))
     fused = fused.withColumn("p", F.expr(softmax("log"))).withColumn("best", F.expr("array_max(p)"))
     fused = fused.withColumn("lang", F.expr(f"if(letters, array({names})[cast(array_position(p, best) AS int) - 1], 'und')"))
-    return fused.select("doc_id", "lang", F.expr("if(letters, best, 1D)").alias("posterior"),
+    return fused.select(F.expr("if(given, d, NULL)").alias("doc_id"), "t1", "t2", "lang", F.expr("if(letters, best, 1D)").alias("posterior"),
                         F.expr(f"lang <> 'und' AND best >= {LEAST_POSTERIOR}D").alias("kept"))
 
 
@@ -174,6 +182,6 @@ def web_evidence(pages: DataFrame, doc_id: Column) -> DataFrame:
 
 
 def drop_unidentified(spark: SparkSession, docs: DataFrame, web: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without those that ``identify`` rejects; rows without an id stay."""
-    gone = staged(spark, identify(spark, docs, web).where("NOT kept").select("doc_id"), "rejected")
-    return keep_rows(docs, gone, keep=False)
+    """The rows of ``docs`` without those that ``identify`` rejects."""
+    gone = staged(spark, judged(spark, docs, web).where("NOT kept").select("doc_id", "t1", "t2"), "rejected")
+    return drop_rows(docs, gone, text_key())

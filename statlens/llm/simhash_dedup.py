@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlens.llm.common import bounded_batches, keep_rows, staged
+from statlens.llm.common import bounded_batches, drop_rows, row_key, staged, text_key
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 BLOCKS, SHARD = 5, 4096
@@ -64,16 +64,21 @@ def signed(x: int) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint's bits as a signed long) of every row; null text: empty."""
+                 shingle: int = SHINGLE, seed: int = SEED, every: bool = False) -> DataFrame:
+    """``doc_id, fp`` (the fingerprint's bits as a signed long) of every row with an id; null text: empty.
+
+    With ``every`` the ``row_key`` and ``fp`` of all rows.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": [signed(fingerprint(t, shingle, seed)) for t in b["t"]]})
+            yield b.drop(columns="t").assign(fp=[signed(fingerprint(t, shingle, seed)) for t in b["t"]])
 
     bounded_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
-    ids = rows.where("doc_id IS NOT NULL").mapInPandas(run, "doc_id long, fp long")
-    return ids
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t")
+    if every:
+        return docs.select(*row_key(id_col, text_col), text).mapInPandas(run, "given boolean, d long, t1 long, t2 long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text)
+    return rows.where("doc_id IS NOT NULL").mapInPandas(run, "doc_id long, fp long")
 
 
 def shard_masks(blocks: int = BLOCKS, radius: int = RADIUS) -> list[int]:
@@ -214,6 +219,16 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
 
 
+def groups(spark: SparkSession, prints: DataFrame, me: str, radius: int = RADIUS, blocks: int = BLOCKS, shard: int = SHARD) -> DataFrame:
+    """``f_, component_id``: for every fingerprint of ``prints`` the smallest ``me`` of all rows that it is joined to."""
+    distinct = staged(spark, prints.groupBy("fp").agg(F.min(F.expr(me)).alias("least_id")), "distinct")
+    roots = components(spark, links(spark, distinct.select("fp"), radius, blocks, shard))
+    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").selectExpr("fp", "least_id", "coalesce(root, fp) AS root")
+    lowest = rooted.groupBy("root").agg(F.min("least_id").alias("component_id")).withColumnRenamed("root", "r_")
+    named = rooted.join(lowest, F.col("root") == F.col("r_")).selectExpr("fp AS f_", "component_id")
+    return staged(spark, named, "components")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED,
                     blocks: int = BLOCKS, shard: int = SHARD) -> DataFrame:
@@ -227,17 +242,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     columns are not read.
     """
     prints = staged(spark, fingerprints(docs, id_col, text_col, shingle, seed), "prints")
-    distinct = staged(spark, prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct")
-    roots = components(spark, links(spark, distinct.select("fp"), radius, blocks, shard))
-    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").selectExpr("fp", "least_id", "coalesce(root, fp) AS root")
-    lowest = rooted.groupBy("root").agg(F.min("least_id").alias("component_id")).withColumnRenamed("root", "r_")
-    named = rooted.join(lowest, F.col("root") == F.col("r_")).selectExpr("fp AS f_", "component_id")
-    named = staged(spark, named, "components")
+    named = groups(spark, prints, "doc_id", radius, blocks, shard)
     return prints.join(named, F.col("fp") == F.col("f_")).select("doc_id", "fp", "component_id")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without those whose group has a smaller id; rows without an id stay."""
-    found = near_duplicates(spark, docs)
-    gone = staged(spark, found.where("doc_id <> component_id").select("doc_id"), "near")
-    return keep_rows(docs, gone, keep=False)
+    """The rows of ``docs`` without those whose group has a smaller id, or the same id with another text.
+
+    Rows without an id are grouped like others and come last in the order.  Of
+    texts under one id, or without one, the one with the smallest hash comes
+    first; rows that repeat an id with an equal text share its decision.
+    """
+    prints = staged(spark, fingerprints(docs, every=True), "prints")
+    me = "struct(NOT given AS late, d, t1, t2)"
+    found = prints.join(groups(spark, prints, me), F.col("fp") == F.col("f_")).where(f"{me} <> component_id")
+    gone = staged(spark, found.selectExpr("if(given, d, NULL) AS doc_id", "t1", "t2"), "near")
+    return drop_rows(docs, gone, text_key())
