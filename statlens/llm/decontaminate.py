@@ -9,8 +9,11 @@ one's (a shared shingle is the minimum of its bin with a chance of at least
 (1 - exp(-1/BINS)) * BINS, 0.88 for 4 bins a shingle), and the number of an
 item's shingles found in the sketch estimates its containment.
 
-An item is a candidate when the sketch holds at least half of the shingles that
-a containment of ``threshold`` asks for.  Candidates are verified by the exact
+An item of ``EXACT`` shingles or more is a candidate when the sketch holds at
+least half of the shingles that a containment of ``threshold`` asks for: at a
+chance of 0.88 a shingle, an item that is contained is missed with a probability
+of less than 2e-9.  A few shingles would be too few to tell, so shorter items are
+looked up in the document's whole shingle set, which misses none.  Candidates are verified by the exact
 containment of their shingles, compared word by word.
 
 The items are the stated queries: they go to the tasks in blocks of bounded
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 from statlens.llm.common import bounded_batches, drop_rows, row_key, staged, text_key
 from statlens.llm.textvec import FOLD, IS_WORD, U64, shingles, slices, words
 
-WORDS, THRESHOLD, BINS = 5, 0.8, 4
+WORDS, THRESHOLD, BINS, EXACT = 5, 0.8, 4, 48
 #: Bytes of item text in a block, and of document text that a task hashes at once.
 ITEM_BLOCK, TEXT_BLOCK = 16 << 20, 4 << 20
 MATCHES = "given boolean, d long, t1 long, t2 long, item_id long, shared long, item_shingles long, containment double"
@@ -54,28 +57,40 @@ class Items:
         self.ids, self.sets = [ids[i] for i in at], [sets[i] for i in at]
         h, k = shingles(*words([texts[i] for i in at]), size) if at else (np.zeros(0, U64), np.zeros(0, np.int64))
         pairs = np.unique(np.stack([h, k.astype(U64)]), axis=1) if len(h) else np.zeros((2, 0), U64)
-        self.hashes, self.item = pairs[0], pairs[1].astype(np.int64)
+        self.item = pairs[1].astype(np.int64)
         count = np.bincount(self.item, minlength=len(at))
-        self.least = np.maximum(1, np.ceil(count * threshold / 2)).astype(np.int64)
+        self.short = count < EXACT
+        share = np.where(self.short, threshold, threshold / 2)
+        self.least = np.maximum(1, np.ceil(count * share - 1e-9)).astype(np.int64)
+        on = self.short[self.item]
+        self.whole, self.sketched = (pairs[0][on], self.item[on]), (pairs[0][~on], self.item[~on])
 
     def candidates(self, hashes: np.ndarray, text: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
-        """(text, item) of every item that the texts' sketches may hold."""
+        """(text, item) of every item that the texts' sketches, or for short items their whole shingle sets, may hold."""
         order = np.lexsort((hashes, text))
         hashes, text = hashes[order], text[order]
         new = np.ones(len(hashes), bool)
         new[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
         hashes, text = hashes[new], text[new]
+        parts = [self.hits(self.whole, hashes, text)]
         size = np.bincount(text, minlength=n_texts)
         bits = np.ceil(np.log2(np.maximum(size, 1) * BINS)).astype(np.int64).clip(1, 40)
         bin_ = hashes >> (64 - bits[text]).astype(U64)  # a text's hashes are sorted, so the first of a bin is its minimum
         low = np.ones(len(hashes), bool)
         low[1:] = (bin_[1:] != bin_[:-1]) | (text[1:] != text[:-1])
-        hashes, text = hashes[low], text[low]
-        a, b = np.searchsorted(self.hashes, hashes), np.searchsorted(self.hashes, hashes, side="right")
+        parts.append(self.hits(self.sketched, hashes[low], text[low]))
+        t, i = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((i, t))
+        return t[order], i[order]
+
+    def hits(self, table: tuple[np.ndarray, np.ndarray], hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(text, item) of the items of ``table`` (hash, item) that have enough of their shingles among the texts' hashes."""
+        known, item = table
+        a, b = np.searchsorted(known, hashes), np.searchsorted(known, hashes, side="right")
         found = np.flatnonzero(b > a)
         n = (b - a)[found]
         step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        pair = np.repeat(text[found], n) * len(self.ids) + self.item[np.repeat(a[found], n) + step]
+        pair = np.repeat(text[found], n) * len(self.ids) + item[np.repeat(a[found], n) + step]
         pair, hits = np.unique(pair, return_counts=True)
         t, i = np.divmod(pair, max(len(self.ids), 1))
         enough = hits >= self.least[i]
