@@ -12,8 +12,8 @@ Besides the languages there is ``und``, under which all trigrams are equally
 likely.  Documents whose best language is ``und``, or less than even, are
 rejected; so are documents without a letter.
 
-The tables are fitted on at most ``SAMPLE`` labelled documents, those with the
-smallest hashes of their ids; host and suffix counts cover all documents.
+The tables are fitted on about ``SAMPLE`` labelled documents of each language, on
+all where a language has no more; host and suffix counts cover all documents.
 """
 
 from __future__ import annotations
@@ -69,10 +69,16 @@ def trigram_counts(labelled: DataFrame) -> DataFrame:
 
 
 def fit(spark: SparkSession, docs: DataFrame, sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """(languages, log probability of each bucket by language), from at most ``sample`` labelled rows."""
-    labelled = docs.where("lang IS NOT NULL AND lang <> 'und' AND doc_id IS NOT NULL AND length(text) > 0")
-    chosen = labelled.select(F.col("doc_id").alias("id_")).distinct().orderBy(F.xxhash64("id_"), "id_").limit(sample)
-    rows = labelled.join(F.broadcast(chosen), F.col("doc_id") == F.col("id_"), "left_semi")  # at most ``sample`` ids
+    """(languages, log probability of each bucket by language), from about ``sample`` labelled rows a language.
+
+    A row is taken if the hash of its id and text is below its language's share,
+    ``sample`` of all rows; a language of at most ``sample`` rows is taken whole.
+    """
+    labelled = docs.where("lang IS NOT NULL AND lang <> 'und' AND length(text) > 0")
+    sizes = labelled.groupBy("lang").count().withColumnsRenamed({"lang": "l_", "count": "n_"})
+    sizes = staged(spark, sizes, "languages")
+    place = f"shiftrightunsigned(xxhash64(doc_id, text), 11) / {float(1 << 53)!r}D"  # from 0 to 1
+    rows = labelled.join(sizes, F.expr("lang = l_")).where(f"{place} < {sample} / n_")
     counts = trigram_counts(rows.select(F.col("text").alias("t"), "lang")).toPandas()  # at most BUCKETS rows a language
     langs = sorted(counts["lang"].unique())
     table = np.full((len(langs), BUCKETS), SMOOTHING)
