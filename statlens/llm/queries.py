@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlens.llm import decontaminate, exact_dedup, language_id, packing, sentence_dedup, simhash_dedup, suffix_dedup, toxicity, url_filter, warc
+from statlens.llm import decontaminate, exact_dedup, language_id, packing, sentence_dedup, simhash_dedup, suffix_dedup, token_files, toxicity, url_filter, warc
 from statlens.llm.common import LOWER, UPPER, read_table
 
 
@@ -67,6 +67,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.stored_documents(spark, read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_language_id": op2_language_id,
@@ -78,6 +82,7 @@ QUERIES = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_sentence_dedup": op9_sentence_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_token_files": op11_token_files,
 }
 
 
