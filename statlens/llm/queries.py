@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlens.llm import decontaminate, exact_dedup, language_id, packing, sentence_dedup, simhash_dedup, suffix_dedup, token_files, toxicity, url_filter, warc
+from statlens.llm import decontaminate, exact_dedup, language_id, lexical_search, packing, sentence_dedup, simhash_dedup, suffix_dedup, token_files, toxicity, url_filter, warc
 from statlens.llm.common import LOWER, UPPER, read_table
 
 
@@ -71,6 +71,10 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.stored_documents(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_language_id": op2_language_id,
@@ -83,6 +87,7 @@ QUERIES = {
     "op9_sentence_dedup": op9_sentence_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_token_files": op11_token_files,
+    "op12_lexical_search": op12_lexical_search,
 }
 
 
@@ -122,7 +127,22 @@ def _url_sql() -> str:
     FROM urls JOIN known USING (host)"""
 
 
+TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 ORACLE_SQL = {
+    "op12_lexical_search": f"""
+        WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERMS}') AS terms FROM documents),
+            sizes AS (SELECT r, doc_id, len(terms) AS n FROM docs WHERE len(terms) > 0),
+            corpus AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sizes),
+            tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM docs) GROUP BY r, term),
+            wanted AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERMS}')) AS term FROM benchmark),
+            weights AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+                        FROM tf, corpus WHERE term IN (SELECT term FROM wanted) GROUP BY term),
+            scores AS (SELECT item_id, doc_id, r,
+                              CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+                       FROM wanted JOIN weights USING (term) JOIN tf USING (term) JOIN sizes USING (r), corpus GROUP BY item_id, doc_id, r)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+        FROM scores WHERE score > 0 QUALIFY rank <= 10
+    """,
     "op1_url_filter": _url_sql(),
     "op3_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,

@@ -18,6 +18,20 @@ FOLD = np.where((_byte >= 65) & (_byte <= 90), _byte + 32, _byte).astype(np.uint
 #: Bytes of words: digits, letters and whatever is outside ASCII.
 IS_WORD = ((_byte >= 48) & (_byte <= 57)) | ((FOLD >= 97) & (FOLD <= 122)) | (_byte >= 128)
 
+#: For ``bytes.translate``: A-Z lower-cased, a blank for every byte outside words.
+WORD_TABLE = bytes(np.where(IS_WORD, FOLD, 32).astype(np.uint8))
+
+
+def word_runs(text: bytes, limit: int = 1 << 19) -> Iterator[list[bytes]]:
+    """The words of ``text`` in order, A-Z lower-cased, about ``limit`` bytes of text at a time."""
+    at = 0
+    while at < len(text):
+        end = min(at + limit, len(text))
+        while end < len(text) and IS_WORD[text[end]]:  # a word is never cut
+            end += 1
+        yield text[at:end].translate(WORD_TABLE).split()
+        at = end
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of each 64-bit value."""
