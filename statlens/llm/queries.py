@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statlens.llm import decontaminate, exact_dedup, language_id, lexical_search, packing, sentence_dedup, simhash_dedup, suffix_dedup, token_files, toxicity, url_filter, warc
+from statlens.llm import decontaminate, exact_dedup, language_id, lexical_search, packing, sentence_dedup, simhash_dedup, spelling, suffix_dedup, token_files, toxicity, url_filter, warc
 from statlens.llm.common import LOWER, UPPER, read_table
 
 
@@ -75,6 +75,10 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spark, read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_language_id": op2_language_id,
@@ -88,6 +92,7 @@ QUERIES = {
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_token_files": op11_token_files,
     "op12_lexical_search": op12_lexical_search,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 
