@@ -16,21 +16,18 @@ of the last shard, not one bin of every shard.
 
 from __future__ import annotations
 
-import json
-import re
 import zlib
 from bisect import bisect_left, insort
-from functools import lru_cache
-from operator import add
 from typing import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statlens.llm.common import bounded_batches, staged
-from statlens.llm.textvec import slices
+from statlens.llm.word_tokens import text_blocks, word_tokenizer
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY, END_ID = 4096, 1
@@ -41,110 +38,28 @@ WELL_FILLED = 0.99
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-class WordTokenizer:
-    """Token ids of texts as little-endian uint32 bytes, with the words' ids kept from text to text.
-
-    The vocabulary never merges across white space, so a text's ids are those of
-    its blank-separated words.  Plain words (Latin letters, then maybe a run of
-    ASCII punctuation without an apostrophe) skip the file's normaliser and
-    splitter, which change only their case and part the run from the letters; all
-    others take the whole tokenizer.
-    """
-
-    #: Words and bytes of one generation of kept words; the one before it is kept too.
-    KEPT, KEPT_BYTES = 450_000, 16 << 20
-    #: A plain word's letters and punctuation, line by line; two empty strings for another word.
-    PLAIN = re.compile(r"^(?:([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|.*)$", re.M)
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        self.whole = Tokenizer.from_str(json.dumps(spec))
-        blanks = {"type": "WhitespaceSplit"}
-        level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
-        bare = spec | {"normalizer": None, "added_tokens": [], "post_processor": None,
-                       "pre_tokenizer": {"type": "Sequence", "pretokenizers": [blanks, level]}}
-        self.bare = Tokenizer.from_str(json.dumps(bare))
-        vocab = self.whole.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.words: dict[bytes, bytes]
-        self.before: dict[bytes, bytes]
-        self.stems: dict[str, bytes]
-        self.forget()
-
-    def _encode(self, missing: list[bytes]) -> list[bytes]:
-        lines = b"\n".join(missing)
-        self.bytes += len(lines)
-        stem, mark = zip(*self.PLAIN.findall(lines.decode("utf-8", "surrogatepass").lower()))
-        new = list(set(stem).union(mark).difference(self.stems))
-        for i in range(0, len(new), 512):
-            part = new[i:i + 512]
-            ids = np.array(self.bare.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            raw, cuts = ids.tobytes(), ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
-            assert len(cuts) == len(part)
-            self.stems.update(zip(part, [raw[a:b] for a, b in zip([0, *cuts], cuts)]))
-        out = list(map(add, map(self.stems.__getitem__, stem), map(self.stems.__getitem__, mark)))
-        other = [k for k, s in enumerate(stem) if not s]
-        if other:
-            found = self.whole.encode_batch_fast([missing[k].decode("utf-8", "surrogatepass") for k in other], add_special_tokens=False)
-            for k, e in zip(other, found):
-                out[k] = np.array(e.ids, "<u4").tobytes()
-        return out
-
-    def _learn(self, missing: set[bytes]) -> None:
-        """Take ``missing`` words from the generation before, or encode them."""
-        new = list(missing.difference(self.before))
-        again = missing.difference(new)
-        self.words.update(zip(again, map(self.before.__getitem__, again)))
-        if new:
-            self.words.update(zip(new, self._encode(new)))
-
-    def forget(self) -> None:
-        self.words, self.before, self.stems, self.bytes = {}, {}, {"": b""}, 0
-
-    def ids(self, texts: list[str]) -> Iterator[bytes]:
-        texts = [t.encode("utf-8", "surrogatepass") for t in texts]
-        for part in slices(list(map(len, texts)), 1 << 20):
-            split = [t.split() for t in texts[part]]
-            if len(self.words) > self.KEPT or self.bytes > self.KEPT_BYTES:
-                self.before, self.words, self.stems, self.bytes = self.words, {}, {"": b""}, 0
-            missing = set().union(*split).difference(self.words)
-            if missing:
-                self._learn(missing)
-            for k, w in enumerate(split):
-                split[k] = None
-                yield b"".join(map(self.words.__getitem__, w))
-
-
-@lru_cache(maxsize=1)
-def word_tokenizer(name: str) -> WordTokenizer:
-    """The tokenizer that a Python worker keeps from task to task."""
-    import public_tokenizers
-
-    return WordTokenizer(public_tokenizers.path(name))
-
-
 def token_pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """The pieces of every row of ``docs``; a null text counts as empty (its one token is ``end_id``)."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = word_tokenizer(tokenizer)
-        words.forget()
-        end = np.array([end_id], "<u4").tobytes()
-        for b in batches:
-            rows = []
-            for doc, ids in zip(b["doc_id"], words.ids(b["t"].tolist())):
-                ids += end
-                n = len(ids) // 4
-                doc = None if doc is None else int(doc)  # ids come as text: a null would turn longs into doubles
-                for k, a in enumerate(range(0, n, capacity)):
-                    rows.append((doc, k, a, min(capacity, n - a), zlib.crc32(ids[4 * a:4 * (a + capacity)])))
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"]).astype({"doc_id": "Int64"})
-
-    rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
-    return rows.mapInPandas(run, PIECES)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, end = word_tokenizer(tokenizer), np.array([end_id], "<u4").tobytes()
+        for b in text_blocks(batches, "t"):
+            ids, ends = words.encode(b.column("t"))
+            size = np.diff(ends, prepend=0) + 1
+            pieces = -(-size // capacity)
+            doc = np.repeat(np.arange(len(size)), pieces)
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            length = np.minimum(capacity, size[doc] - piece * capacity)
+            view, at = memoryview(ids).cast("B"), ((ends + 1 - size)[doc] + piece * capacity)
+            # a document's last piece ends with the end token
+            last = piece + 1 == pieces[doc]
+            crc = [zlib.crc32(end, zlib.crc32(view[4 * a:4 * (a + n - 1)])) if z else zlib.crc32(view[4 * a:4 * (a + n)])
+                   for a, n, z in zip(at.tolist(), length.tolist(), last.tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id").take(pa.array(doc)), *map(pa.array, (piece, piece * capacity, length, crc))],
+                schema=pa.schema([(c.split()[0], pa.int64()) for c in PIECES.replace("int", "long").split(", ")]))
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
+    return rows.mapInArrow(run, PIECES.replace("int", "long")).withColumn("piece", F.col("piece").cast("int"))
 
 
 def best_fit(order: np.ndarray, size: list[int], room: dict[int, int], bins: list[int], capacity: int, fresh: int) -> int:
