@@ -1,20 +1,19 @@
 """Benchmark decontamination: size-partitioned MinHash containment search.
 
-Documents are partitioned by the size of their shingle set (powers of two).  A
-document of a partition with upper bound u has a one-permutation MinHash
-sketch of ``BINS * u`` bins: hashes are dealt to bins by their leading bits and
-each bin keeps its smallest hash.  The bins grow with the partition, so a short
-item's shingles survive in a long document's sketch as often as in a short
-one's (a shared shingle is the minimum of its bin with a chance of at least
-(1 - exp(-1/BINS)) * BINS, 0.88 for 4 bins a shingle), and the number of an
-item's shingles found in the sketch estimates its containment.
-
-An item of ``EXACT`` shingles or more is a candidate when the sketch holds at
-least half of the shingles that a containment of ``threshold`` asks for: at a
-chance of 0.88 a shingle, an item that is contained is missed with a probability
-of less than 2e-9.  A few shingles would be too few to tell, so shorter items are
-looked up in the document's whole shingle set, which misses none.  Candidates are verified by the exact
-containment of their shingles, compared word by word.
+Documents and items are partitioned by the size of their shingle sets (powers of
+two).  For a partition of items, a document of a partition with upper bound u has
+a one-permutation MinHash sketch of ``c * u`` bins: hashes are dealt to bins by
+their leading bits and each bin keeps its smallest hash.  The bins grow with the
+document's partition, so an item's shingles survive in a long document's sketch as
+often as in a short one's: a shared shingle is the minimum of its bin with a
+chance of at least (1 - exp(-1/c)) * c.
+
+An item is a candidate when the sketch holds at least half of the shingles that a
+containment of ``threshold`` asks for.  ``c`` is the smallest power of two at which
+an item of the partition that is contained is missed with a probability of at most
+``MISS``: fewer shingles need more bins, as fewer of them may be lost (``bins``).
+Candidates are verified by the exact containment of their shingles, compared word
+by word.  Long texts are hashed and verified in segments.
 
 The items are the stated queries: they go to the tasks in blocks of bounded
 size, and each block's search scans the documents once, without a shuffle.
@@ -31,61 +30,95 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statlens.llm.common import bounded_batches, drop_rows, row_key, staged, text_key
-from statlens.llm.textvec import FOLD, IS_WORD, U64, shingles, slices, words
+from statlens.llm.textvec import U64, WORD_TABLE, text_shingles, word_runs
 
-WORDS, THRESHOLD, BINS, EXACT = 5, 0.8, 4, 48
-#: Bytes of item text in a block, and of document text that a task hashes at once.
-ITEM_BLOCK, TEXT_BLOCK = 16 << 20, 4 << 20
+WORDS, THRESHOLD, MISS = 5, 0.8, 1e-9
+#: Bytes of item text in a block, bits of the hashes that a first look at the items takes.
+ITEM_BLOCK, LOOK = 16 << 20, 18
 MATCHES = "given boolean, d long, t1 long, t2 long, item_id long, shared long, item_shingles long, containment double"
 
-_TABLE = bytes(np.where(IS_WORD, FOLD, 32).astype(np.uint8))
-
-
 def shingle_set(text: bytes, size: int = WORDS) -> set[tuple[bytes, ...]]:
     """The text's distinct runs of ``size`` words; A-Z lower-cased, punctuation aside."""
-    w = text.translate(_TABLE).split()
+    w = text.translate(WORD_TABLE).split()
     return set(zip(*(w[i:] for i in range(size))))
 
 
+def held_shingles(text: bytes, wanted: set[tuple[bytes, ...]], size: int = WORDS) -> set[tuple[bytes, ...]]:
+    """Those of the ``wanted`` shingles that are in the text."""
+    out, tail = set(), []
+    for w in word_runs(text):
+        w = tail + w
+        out |= wanted.intersection(zip(*(w[i:] for i in range(size))))
+        tail = w[max(0, len(w) - size + 1):]
+    return out
+
+
+def least_hits(count: int, threshold: float) -> int:
+    """The shingles of an item that a sketch must hold to make it a candidate."""
+    return max(1, math.ceil(count * threshold / 2 - 1e-9))
+
+
+def bins(low: int, threshold: float = THRESHOLD) -> int:
+    """log2 of the bins a shingle for items of ``low`` to ``2 * low - 1`` shingles; shingles taken as independent."""
+    for c in range(2, 48):
+        lost = 2.0 ** -(c + 1)  # at least 1 - (1 - exp(-x)) / x for x = 2 ** -c
+        worst = 0.0
+        for n in range(low, min(2 * low, low + 64)):
+            shared = max(1, math.ceil(n * threshold - 1e-9))
+            worst = max(worst, sum(math.comb(shared, k) * (1 - lost) ** k * lost ** (shared - k) for k in range(least_hits(n, threshold))))
+        if worst <= MISS:
+            return c
+    return 48
+
+
 class Items:
-    """A block of items: their shingle sets, and the item by shingle hash."""
+    """A block of items: their shingle sets, and the item by shingle hash for every partition."""
 
     def __init__(self, ids: list[int], texts: list[bytes], size: int, threshold: float):
         self.size, self.threshold = size, threshold
         sets = [shingle_set(t, size) for t in texts]
         at = [i for i, s in enumerate(sets) if s]
         self.ids, self.sets = [ids[i] for i in at], [sets[i] for i in at]
-        h, k = shingles(*words([texts[i] for i in at]), size) if at else (np.zeros(0, U64), np.zeros(0, np.int64))
-        pairs = np.unique(np.stack([h, k.astype(U64)]), axis=1) if len(h) else np.zeros((2, 0), U64)
-        self.item = pairs[1].astype(np.int64)
-        count = np.bincount(self.item, minlength=len(at))
-        self.short = count < EXACT
-        share = np.where(self.short, threshold, threshold / 2)
-        self.least = np.maximum(1, np.ceil(count * share - 1e-9)).astype(np.int64)
-        on = self.short[self.item]
-        self.whole, self.sketched = (pairs[0][on], self.item[on]), (pairs[0][~on], self.item[~on])
+        h, k = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+        for part, hashes, number in text_shingles([texts[i] for i in at], size):
+            h.append(hashes)
+            k.append(number + part.start)
+        pairs = np.unique(np.stack([np.concatenate(h), np.concatenate(k).astype(U64)]), axis=1)
+        hashes, item = pairs[0], pairs[1].astype(np.int64)
+        count = np.bincount(item, minlength=len(at))
+        self.least = np.array([least_hits(n, threshold) for n in count.tolist()], np.int64)
+        self.maybe = np.zeros(1 << LOOK, bool)
+        self.maybe[hashes >> U64(64 - LOOK)] = True
+        part = np.frexp(count)[1] - 1  # of an item: log2 of its shingles, rounded down
+        self.tables = []
+        for p in np.unique(part).tolist():
+            own = part[item] == p
+            self.tables.append((bins(1 << p, threshold), hashes[own], item[own]))
 
     def candidates(self, hashes: np.ndarray, text: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
-        """(text, item) of every item that the texts' sketches, or for short items their whole shingle sets, may hold."""
+        """(text, item) of every item that the texts' sketches may hold."""
         order = np.lexsort((hashes, text))
         hashes, text = hashes[order], text[order]
-        new = np.ones(len(hashes), bool)
-        new[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
-        hashes, text = hashes[new], text[new]
-        parts = [self.hits(self.whole, hashes, text)]
-        size = np.bincount(text, minlength=n_texts)
-        bits = np.ceil(np.log2(np.maximum(size, 1) * BINS)).astype(np.int64).clip(1, 40)
-        bin_ = hashes >> (64 - bits[text]).astype(U64)  # a text's hashes are sorted, so the first of a bin is its minimum
-        low = np.ones(len(hashes), bool)
-        low[1:] = (bin_[1:] != bin_[:-1]) | (text[1:] != text[:-1])
-        parts.append(self.hits(self.sketched, hashes[low], text[low]))
+        same = np.zeros(len(hashes), bool)  # text as before
+        same[1:] = text[1:] == text[:-1]
+        new = ~same
+        new[1:] |= hashes[1:] != hashes[:-1]
+        hashes, text, same = hashes[new], text[new], same[new]
+        bits = np.ceil(np.log2(np.maximum(np.bincount(text, minlength=n_texts), 1))).astype(np.int64)[text]
+        seen = np.flatnonzero(self.maybe[hashes >> U64(64 - LOOK)])  # no other hash is an item's
+        before = seen - 1
+        parts = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for c, known, item in self.tables:
+            shift = np.maximum(64 - c - bits[seen], 0).astype(U64)
+            # a text's hashes are sorted, so the first of a bin is its minimum
+            low = ~same[seen] | (hashes[seen] >> shift != hashes[before] >> shift)
+            parts.append(self.hits(known, item, hashes[seen[low]], text[seen[low]]))
         t, i = (np.concatenate(x) for x in zip(*parts))
         order = np.lexsort((i, t))
         return t[order], i[order]
 
-    def hits(self, table: tuple[np.ndarray, np.ndarray], hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(text, item) of the items of ``table`` (hash, item) that have enough of their shingles among the texts' hashes."""
-        known, item = table
+    def hits(self, known: np.ndarray, item: np.ndarray, hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(text, item) of the items of a partition (hash, item) that have enough of their shingles among the texts' minima."""
         a, b = np.searchsorted(known, hashes), np.searchsorted(known, hashes, side="right")
         found = np.flatnonzero(b > a)
         n = (b - a)[found]
@@ -97,16 +130,16 @@ class Items:
         return t[enough], i[enough]
 
     def search(self, ids: list[int], texts: list[bytes]) -> Iterator[tuple]:
-        for part in slices([len(t) for t in texts], TEXT_BLOCK):
-            own = texts[part]
-            h, t = shingles(*words(own), self.size)
-            last, held = -1, set()
-            for k, i in zip(*(x.tolist() for x in self.candidates(h, t, len(own)))):
-                if k != last:
-                    last, held = k, shingle_set(own[k], self.size)
-                shared, all_ = len(self.sets[i] & held), len(self.sets[i])
-                if shared >= math.ceil(self.threshold * all_ - 1e-9):
-                    yield ids[part][k], self.ids[i], shared, all_, shared / all_
+        for part, h, t in text_shingles(texts, self.size):
+            found: dict[int, list[int]] = {}
+            for k, i in zip(*(x.tolist() for x in self.candidates(h, t, part.stop - part.start))):
+                found.setdefault(k, []).append(i)
+            for k, items in found.items():
+                held = held_shingles(texts[part][k], set().union(*(self.sets[i] for i in items)), self.size)
+                for i in items:
+                    shared, all_ = len(self.sets[i] & held), len(self.sets[i])
+                    if shared >= math.ceil(self.threshold * all_ - 1e-9):
+                        yield ids[part][k], self.ids[i], shared, all_, shared / all_
 
 
 def matches(spark: SparkSession, docs: DataFrame, items: DataFrame, size: int = WORDS,

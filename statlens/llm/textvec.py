@@ -40,16 +40,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
+#: Bytes of text whose words are hashed at once; a longer text is taken in segments.
+SEGMENT = 1 << 19
 _powers: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base^0 .. base^(n-1) modulo 2^64."""
+    """base^0 .. base^(n-1) modulo 2^64; a worker keeps at most ``2 * SEGMENT`` of them a base."""
     have = _powers.get(base)
     if have is None or len(have) < n:
         have = np.full(max(n, 1 << 16), base, U64)
         have[0] = 1
-        _powers[base] = have = np.multiply.accumulate(have)
+        have = np.multiply.accumulate(have)
+        if len(have) <= 2 * SEGMENT:
+            _powers[base] = have
     return have[:n]
 
 
@@ -81,6 +85,55 @@ def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(ends, start, side="right")
 
 
+def segments(text: bytes, limit: int = SEGMENT) -> Iterator[tuple[int, int]]:
+    """Ranges of at most ``limit`` bytes that hold whole words; a longer word is a range by itself."""
+    at, n = 0, len(text)
+    while at < n:
+        end = min(at + limit, n)
+        if end < n and IS_WORD[text[end]] and IS_WORD[text[end - 1]]:
+            outside = np.flatnonzero(~IS_WORD[np.frombuffer(text, np.uint8, end - at, at)])
+            if len(outside):
+                end = at + int(outside[-1]) + 1
+            else:
+                while end < n:
+                    part = np.frombuffer(text, np.uint8, min(limit, n - end), end)
+                    outside = np.flatnonzero(~IS_WORD[part])
+                    end += int(outside[0]) if len(outside) else len(part)
+                    if len(outside):
+                        break
+        yield at, end
+        at = end
+
+
+def long_word(text: bytes, limit: int = SEGMENT) -> np.ndarray:
+    """What ``words`` gives for a single word, taken ``limit`` bytes at a time."""
+    value, total = mix(np.arange(1, 257, dtype=U64))[FOLD], np.zeros(1, U64)
+    for at in range(0, len(text), limit):
+        part = value[np.frombuffer(text, np.uint8, min(limit, len(text) - at), at)]
+        total += (part * powers(BASE, len(part))).sum() * U64(pow(BASE, at, 1 << 64))
+    return mix(total + U64(len(text)))
+
+
+def text_shingles(texts: list[bytes], size: int, limit: int = SEGMENT) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """(some texts, hash, number among them) of every run of ``size`` words, at most ``limit`` bytes of text at a time.
+
+    A longer text comes by itself, each of its hashes once.
+    """
+    for part in slices([len(t) for t in texts], limit):
+        own = texts[part]
+        if len(own) > 1 or len(own[0]) <= limit:
+            yield part, *shingles(*words(own), size)
+            continue
+        found, tail = [], np.zeros(0, U64)
+        for a, e in segments(own[0], limit):
+            h = words([own[0][a:e]])[0] if e - a <= limit else long_word(own[0][a:e], limit)
+            h = np.concatenate([tail, h])
+            found.append(np.unique(shingles(h, np.zeros(len(h), np.int64), size)[0]))
+            tail = h[max(0, len(h) - size + 1):]
+        h = np.unique(np.concatenate(found))
+        yield part, h, np.zeros(len(h), np.int64)
+
+
 def shingles(hashes: np.ndarray, text: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, text) of every run of ``size`` words within a text."""
     n = len(hashes) - size + 1
