@@ -16,7 +16,7 @@ from statlens.llm.common import LOWER, UPPER, read_table
 
 def page_document():
     """The document that a page shows: the number at the end of its url's path."""
-    return F.try_to_number(F.nullif(F.regexp_extract("url", r"/(\d{1,18})(?:\.html)?/?(?:[?#]|$)", 1), F.lit("")), F.lit("9" * 18)).cast("long")
+    return F.regexp_extract("url", r"/(\d+)(?:\.html)?/?(?:[?#]|$)", 1).try_cast("long")
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +116,7 @@ def _url_sql() -> str:
     WITH cut AS (SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
         urls AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
                         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
-                        TRY_CAST(nullif(regexp_extract(url, '/([0-9]{{1,18}})(?:\.html)?/?(?:[?#]|$)', 1), '') AS BIGINT) AS shown FROM cut),
+                        TRY_CAST(nullif(regexp_extract(url, '/([0-9]+)(?:\.html)?/?(?:[?#]|$)', 1), '') AS BIGINT) AS shown FROM cut),
         good AS (SELECT page_id, max(CAST(quality = 1 AND toxic = 0 AS INT)) AS good FROM urls JOIN labels ON shown = doc_id GROUP BY page_id),
         hosts AS (SELECT host, regexp_extract(regexp_replace(host, '^.*@|:[0-9]*$', '', 'g'), '([^.]+)$', 1) AS suffix,
                          regexp_extract(regexp_replace(host, '^.*@|:[0-9]*$', '', 'g'), '([^.]+(?:\.[^.]+)?)$', 1) AS domain,

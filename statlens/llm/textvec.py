@@ -110,7 +110,7 @@ def long_word(text: bytes, limit: int = SEGMENT) -> np.ndarray:
     value, total = mix(np.arange(1, 257, dtype=U64))[FOLD], np.zeros(1, U64)
     for at in range(0, len(text), limit):
         part = value[np.frombuffer(text, np.uint8, min(limit, len(text) - at), at)]
-        total += (part * powers(BASE, len(part))).sum() * U64(pow(BASE, at, 1 << 64))
+        total += (part * powers(BASE, len(part))).sum(keepdims=True) * U64(pow(BASE, at, 1 << 64))
     return mix(total + U64(len(text)))
 
 

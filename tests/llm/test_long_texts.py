@@ -1,0 +1,81 @@
+"""Very long texts pass the operators in segments: same results, and a stated growth of a worker's memory."""
+
+import os
+import random
+import subprocess
+import sys
+
+import numpy as np
+import pytest
+
+from statlens.llm import decontaminate, textvec
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+GROWTH = """
+import random, resource, sys
+sys.path.insert(0, {root!r})
+import numpy as np
+from statlens.llm import decontaminate, language_id, lexical_search
+rng = np.random.default_rng(1)
+words = [bytes(rng.integers(97, 123, rng.integers(2, 9)).astype(np.uint8)) for _ in range(20000)]
+def make(size):
+    return b" ".join(words[k] for k in rng.integers(0, len(words), size // 6))
+item = b" ".join(words[:20])
+block = decontaminate.Items([7], [item], 5, 0.8)
+def work(text):
+    {work}
+work(make(1 << 20))
+text = make({size}) + b" " + item
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+work(text)
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) * 1024 / len(text))
+"""
+WORK = {
+    "decontaminate": "assert [x[:2] for x in block.search([3], [text])] == [(3, 7)] or len(text) < 2 << 20",
+    "language_id": "assert sum(len(b) for b, _, _ in language_id.trigram_blocks([text])) > 0",
+    "lexical_search": "lexical_search.term_counts(text.decode())",
+}
+
+
+@pytest.mark.parametrize("what, most", [("decontaminate", 12), ("language_id", 3), ("lexical_search", 6)])
+def test_memory_grows_by_a_few_bytes_a_byte(what, most):
+    code = GROWTH.format(root=ROOT, work=WORK[what], size=30 << 20)
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, env=os.environ | {"OMP_NUM_THREADS": "1"})
+    assert out.returncode == 0, out.stderr
+    assert float(out.stdout) < most
+
+
+def test_segments_hold_whole_words():
+    rng = random.Random(5)
+    for limit in (1, 3, 16, 200):
+        for _ in range(30):
+            text = "".join(rng.choice(["a", "é", " ", ". ", "b" * rng.choice([1, 40])]) for _ in range(60)).encode()
+            cuts = list(textvec.segments(text, limit))
+            assert b"".join(text[a:e] for a, e in cuts) == text
+            assert [w for a, e in cuts for w in text[a:e].translate(textvec.WORD_TABLE).split()] == text.translate(textvec.WORD_TABLE).split()
+            assert [w for part in textvec.word_runs(text, limit) for w in part] == text.translate(textvec.WORD_TABLE).split()
+            want = set(textvec.shingles(*textvec.words([text]), 3)[0].tolist())
+            for texts, at in (([text], 0), ([b"x y z", text, b""], 1)):
+                got = {h for part, hashes, number in textvec.text_shingles(texts, 3, limit) for h, n in zip(hashes.tolist(), number.tolist()) if part.start + n == at}
+                assert got == want
+
+
+def test_a_long_word_hashes_as_a_word():
+    for n in (1, 7, 100, 1000):
+        w = np.random.default_rng(n).integers(97, 123, n).astype(np.uint8).tobytes()
+        for limit in (1, 33, 5000):
+            assert textvec.long_word(w, limit)[0] == textvec.words([w])[0][0]
+
+
+def test_held_shingles_across_runs(monkeypatch):
+    text = b" ".join(b"w%d" % (k % 50) for k in range(3000))
+    wanted = decontaminate.shingle_set(b"w48 w49 w0 w1 w2 w3 w4 zz w5 w6 w7 w8 w9 w10")
+    runs = textvec.word_runs
+    monkeypatch.setattr(decontaminate, "word_runs", lambda t: runs(t, 40))
+    assert decontaminate.held_shingles(text, wanted) == wanted & decontaminate.shingle_set(text)
+
+
+def test_an_item_is_seldom_missed():
+    """Bins a shingle by the items' partition: the stated chance to miss a contained item, and more bins for fewer shingles."""
+    bins = [decontaminate.bins(1 << p) for p in range(8)]
+    assert bins == sorted(bins, reverse=True) and bins[0] >= 28 and bins[-1] <= 3
