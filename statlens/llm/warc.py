@@ -9,6 +9,11 @@ last chunk of a record has the digest of the whole.
 Archives are gzip files, one member a record, in a shared folder.  A task writes
 its own files under names that no other attempt uses; the manifest lists those
 of the attempts that succeeded, and a reader opens only these.
+
+The reader takes archives of other makers too: records of any type, with or
+without an HTTP header (and with any fields in it), gzip of one or many members
+or none, and lines that end with a bare line feed.  The payload is what follows
+the HTTP header, else the whole block.
 """
 
 from __future__ import annotations
@@ -26,6 +31,8 @@ from pyspark.sql import functions as F
 from statlens.llm.common import bounded_batches, new_folder, staged
 
 CHUNK, ARCHIVE_BYTES, LEVEL, DATE = 1 << 16, 32 << 20, 3, "2000-01-01T00:00:00Z"
+#: Archives are read in as many tasks as there are, up to this many.
+MOST_TASKS = 100_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CHUNK_TABLE = ("page_id long, record_id string, record_type string, url string, refers_to long, chunk int, last boolean, "
                "data binary, running_sha1 string, payload_bytes long, payload_digest string")
@@ -145,7 +152,9 @@ class Stream:
     """Bytes of an archive, decompressed as they are asked for."""
 
     def __init__(self, raw, chunk: int):
-        self.raw, self.chunk, self.gz, self.rest, self.held, self.ended = raw, chunk, None, b"", bytearray(), False
+        self.raw, self.chunk, self.gz, self.rest, self.held, self.taken = raw, chunk, None, b"", bytearray(), 0
+        self.rest = raw.read(max(2, chunk))
+        self.plain = self.rest[:2] != b"\x1f\x8b"
 
     def fill(self) -> bool:
         """Take up to a chunk more; False at the archive's end."""
@@ -156,62 +165,103 @@ class Stream:
                     if self.gz is not None:
                         raise EOFError("the archive ends within a record")
                     return False
-            self.gz = self.gz or zlib.decompressobj(31)
-            got = self.gz.decompress(self.rest, self.chunk)
-            if self.gz.eof:
-                self.rest, self.gz = self.gz.unused_data, None
+            if self.plain:
+                got, self.rest = self.rest, b""
             else:
-                self.rest = self.gz.unconsumed_tail
+                self.gz = self.gz or zlib.decompressobj(31)
+                got = self.gz.decompress(self.rest, self.chunk)
+                if self.gz.eof:
+                    self.rest, self.gz = self.gz.unused_data, None
+                else:
+                    self.rest = self.gz.unconsumed_tail
             if got:
                 self.held += got
                 return True
 
-    def line(self) -> bytes | None:
-        """The next line without its end; None at the archive's end."""
-        while (i := self.held.find(b"\r\n")) < 0:
+    def peek(self, n: int) -> bytes:
+        """The next ``n`` bytes, fewer at the archive's end; they stay."""
+        while len(self.held) < n and self.fill():
+            pass
+        return bytes(self.held[:n])
+
+    def line(self, limit: int | None = None) -> bytes | None:
+        """The next line without its end; None at the archive's end or where ``limit`` bytes have no line."""
+        at = 0
+        while (i := self.held.find(b"\n", at)) < 0 and (limit is None or len(self.held) < limit):
+            at = len(self.held)
             if not self.fill():
                 if self.held:
                     raise EOFError("the archive ends within a line")
                 return None
+        if i < 0 or (limit is not None and i >= limit):
+            return None
         out = bytes(self.held[:i])
-        del self.held[:i + 2]
-        return out
+        self.drop(i + 1)
+        return out.removesuffix(b"\r")
+
+    def drop(self, n: int) -> None:
+        del self.held[:n]
+        self.taken += n
 
     def take(self, n: int) -> bytes:
         """Between 1 and ``n`` bytes."""
         if not self.held and not self.fill():
             raise EOFError("the archive ends within a record")
         out = bytes(self.held[:n])
-        del self.held[:n]
+        self.drop(len(out))
         return out
 
-    def fields(self) -> dict[str, str]:
-        out = {}
-        while line := self.line():
-            name, _, value = line.decode("utf-8", "surrogatepass").partition(":")
-            out[name.lower()] = value.strip()
+    def fields(self, end: int | None = None) -> dict[str, str]:
+        """Header fields up to the empty line (or to where ``taken`` is ``end``): names in small letters, folded lines joined."""
+        out: dict[str, str] = {}
+        name = ""
+        while line := self.line(None if end is None else end - self.taken):
+            text = line.decode("utf-8", "surrogateescape")
+            if text[0] in " \t" and name:
+                out[name] += " " + text.strip()
+                continue
+            name, _, value = text.partition(":")
+            name = name.strip().lower()
+            out[name] = value.strip()
         return out
 
 
 def number(urn: str | None) -> int | None:
-    digits = (urn or "").removesuffix(">").rpartition(":")[2]
-    return int(digits) if digits else None
+    """The page_id of a record id that ``head`` made."""
+    inner = (urn or "").strip("<>")
+    digits = inner.removeprefix("urn:page:")
+    return int(digits) if digits != inner and digits.isdigit() else None
 
 
 def record_chunks(raw, chunk: int = CHUNK) -> Iterator[tuple]:
-    """The rows of the chunked record table for one open archive."""
+    """The rows of the chunked record table for one open archive.
+
+    ``payload_digest`` is what the record states (SHA-1 in base32), else that of
+    the payload; a response of which it states another raises ``ValueError``, unless its
+    payload came in a transfer encoding, which it need not count.  ``payload_bytes`` of a revisit
+    is what its HTTP header says; null without one.
+    """
     s = Stream(raw, chunk)
-    while (first := s.line()) is not None:
+    while True:
+        while (first := s.line()) == b"":
+            pass  # empty lines between records
+        if first is None:
+            return
         if not first.startswith(b"WARC/"):
             raise ValueError(f"not a WARC record: {first[:40]!r}")
         f = s.fields()
-        left = int(f["content-length"])
-        status = s.line()
-        http = s.fields()
-        # the HTTP header as it was read: its lines, their ends and the empty line
-        left -= len(status) + 2 + sum(len(utf8(k)) + len(utf8(v)) + 4 for k, v in http.items()) + 2
-        size, said = int(http["content-length"]), f["warc-payload-digest"].removeprefix("sha1:")
-        ids = (number(f["warc-record-id"]), f["warc-record-id"], f["warc-type"], f["warc-target-uri"], number(f.get("warc-refers-to")))
+        end = s.taken + int(f["content-length"])
+        kind, http = f.get("warc-type", ""), {}
+        if int(f["content-length"]) >= 5 and s.peek(5) == b"HTTP/" and s.line(end - s.taken) is not None:
+            http = s.fields(end)
+        left = end - s.taken
+        said = f.get("warc-payload-digest", "")
+        said = said[5:].upper() if said[:5].lower() == "sha1:" else None
+        size = left
+        if kind == "revisit":
+            size = int(http["content-length"]) if http.get("content-length", "").isdigit() else None
+        check = kind == "response" and "transfer-encoding" not in http
+        ids = (number(f.get("warc-record-id")), f.get("warc-record-id"), kind, f.get("warc-target-uri"), number(f.get("warc-refers-to")))
         digest, no = hashlib.sha1(), 0
         while True:
             data = bytearray()
@@ -220,18 +270,24 @@ def record_chunks(raw, chunk: int = CHUNK) -> Iterator[tuple]:
                 left -= len(got)
                 data += got
             digest.update(data)
-            if not left and f["warc-type"] == "response" and base32(digest.digest()) != said:
+            own = base32(digest.digest())
+            if not left and check and said not in (None, own):
                 raise ValueError(f"payload digest of {ids[1]} is not {said}")
-            yield (*ids, no, not left, bytes(data), digest.hexdigest(), size, said)
+            stated = said or (own if not left and kind != "revisit" else None)
+            yield (*ids, no, not left, bytes(data), digest.hexdigest(), size, stated)
             no += 1
             if not left:
                 break
-        if s.line() or s.line():
-            raise ValueError(f"no end of record after {ids[1]}")
 
 
 def read_archives(manifest: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """The chunked record table of the archives of ``manifest``; every record has at least one (maybe empty) chunk."""
+    """The chunked record table of the archives of ``manifest`` (``path``); every record has at least one (maybe empty) chunk.
+
+    Columns: page_id and refers_to (null in archives of other makers), record_id,
+    record_type, url, chunk, last, data, running_sha1, payload_bytes,
+    payload_digest (of a record without a stated one: on its last chunk).  Archives
+    are read side by side, each in one task; no archive gives an empty result.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow.fs import FileSystem
 
@@ -251,9 +307,16 @@ def read_archives(manifest: DataFrame, chunk: int = CHUNK) -> DataFrame:
                     yield frame(rows, names)
 
     def frame(rows, names):
-        return pd.DataFrame(rows, columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
+        return pd.DataFrame(rows, columns=names).astype({"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "Int64"})
+
+    tasks = max(1, min(manifest.count(), MOST_TASKS))
+    return manifest.select("path").repartition(tasks).mapInPandas(run, CHUNK_TABLE)
+
 
-    return manifest.select("path").repartition("path").mapInPandas(run, CHUNK_TABLE)
+def list_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """``path, bytes`` of the archives (``*.warc``, ``*.warc.gz``) in ``folder`` and below it, for ``read_archives``."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return files.where(r"path RLIKE '\.warc(\.gz)?$'").select("path", F.col("length").alias("bytes"))
 
 
 def archive_and_read(spark: SparkSession, pages: DataFrame, least: int = 0) -> DataFrame:
