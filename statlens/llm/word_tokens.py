@@ -8,7 +8,6 @@ and Arrow puts the known words' ids in the texts' order.
 
 from __future__ import annotations
 
-import json
 from functools import lru_cache
 from typing import Iterable, Iterator
 
@@ -31,19 +30,15 @@ class WordTokenizer:
     """
 
     #: Keys and bytes of one generation of kept keys; the one before it is kept too.
-    KEPT, KEPT_BYTES = 600_000, 16 << 20
+    KEPT, KEPT_BYTES = 400_000, 16 << 20
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        self.whole = Tokenizer.from_str(json.dumps(spec))
-        blanks = {"type": "WhitespaceSplit"}
-        level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
-        bare = spec | {"normalizer": None, "added_tokens": [], "post_processor": None,
-                       "pre_tokenizer": {"type": "Sequence", "pretokenizers": [blanks, level]}}
-        self.bare = Tokenizer.from_str(json.dumps(bare))
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole = Tokenizer.from_file(path)
+        self.bare = Tokenizer(self.whole.model)  # the same model without the file's normaliser and splitter
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.whole.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
@@ -155,3 +150,4 @@ def text_blocks(batches: Iterable[pa.RecordBatch], column: str, limit: int = TEX
             size += n
     if held:
         yield pa.concat_batches(held)
+    pa.default_memory_pool().release_unused()  # the worker may wait long for its next task
