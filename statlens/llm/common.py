@@ -80,16 +80,37 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
     return [i.isNotNull().alias("given"), F.coalesce(i, F.lit(0).cast("long")).alias("d"), *(v.alias(k) for k, v in text_key(text_col).items())]
 
 
+#: Bits of the bitmap with which ``drop_rows`` tells rows that surely stay, at most (a word of 64 bits is a row that is broadcast).
+SIEVE_BITS = 1 << 24
+
+
 def drop_rows(docs: DataFrame, gone: DataFrame, key: dict[str, Column]) -> DataFrame:
     """Rows of ``docs`` whose id and ``key`` are not in ``gone`` (``doc_id`` and the key's columns); a null id equals a null id.
 
     So a decision holds for an id and its text: other texts under the same id, or without one, stay.
+
+    Only rows that may be in ``gone`` (a written table) are joined with it: a bitmap
+    of its keys, of at most ``SIEVE_BITS / 64`` rows, is broadcast, and rows that it
+    rules out pass without a shuffle of their texts.  A full bitmap lets all rows
+    through to the join.
     """
     other = gone.select(*(F.col(k).alias(f"__{k}") for k in ("doc_id", *key))).distinct()
-    on = docs["doc_id"].eqNullSafe(other["__doc_id"])
-    for k, v in key.items():
-        on &= v == other[f"__{k}"]
-    return docs.join(other, on, "left_anti")
+    n, bits = gone.count(), 1 << 12
+    while bits < min(16 * n, SIEVE_BITS):
+        bits *= 2
+    names = [f"__{k}" for k in ("doc_id", *key)]
+    at = lambda h: F.shiftrightunsigned(h.bitwiseAND(F.lit(bits - 1)), 6)
+    bit = F.expr("shiftleft(1L, cast(__h & 63 AS int))")
+    marks = other.select(F.xxhash64(*names).alias("__h")).select(at(F.col("__h")).alias("__w"), bit.alias("__b"))
+    marks = marks.groupBy("__w").agg(F.bit_or("__b").alias("__b"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"), F.col("doc_id").alias("__doc_id"),
+                       *(v.alias(f"__{k}") for k, v in key.items())).withColumn("__h", F.xxhash64(*names))
+    rows = rows.withColumn("__w", at(F.col("__h"))).join(F.broadcast(marks), "__w", "left")
+    doubt = F.coalesce(F.col("__b"), F.lit(0).cast("long")).bitwiseAND(bit) != 0
+    left, right, on = rows.where(doubt).alias("l"), other.alias("r"), F.lit(True)
+    for k in names:
+        on &= F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}"))
+    return rows.where(~doubt).select("__row.*").unionAll(left.join(right, on, "left_anti").select("__row.*"))
 
 
 def keep_rows(docs: DataFrame, ids: DataFrame, column: str = "doc_id", keep: bool = True) -> DataFrame:
