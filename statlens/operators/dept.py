@@ -22,6 +22,27 @@ def _whole(number: Column) -> Column:
     return ~F.isnan(number) & (F.abs(number) < F.lit(2.0 ** 63))
 
 
+def _salary_value(column: Column, data_type) -> Column:
+    """The whole-unit salary; NULL where it is missing, not a number or out of range."""
+    if isinstance(data_type, StringType):
+        # The digits before the point are the truncated value: no scale is lost
+        # on the way.  Other spellings of a number (1e3, .5) go through a double.
+        text = F.trim(column)
+        plain = text.rlike(r"^[+-]?[0-9]+([.][0-9]*)?$")
+        number = F.when(~plain, text.try_cast("double"))
+        return (F.when(plain, F.regexp_extract(text, r"^([+-]?[0-9]+)", 1).try_cast("bigint"))
+                .when(_whole(number), number.cast("bigint")))
+    if isinstance(data_type, NumericType):
+        return F.when(_whole(column.cast("double")), column.cast("bigint"))
+    raise TypeError(f"salary must be text or numeric, not {data_type.simpleString()}")
+
+
+def salary_fault(column: Column, data_type) -> Column:
+    """Why a salary cannot be taken; NULL for one that can."""
+    return (F.when(column.isNull(), F.lit("salary is missing"))
+            .when(_salary_value(column, data_type).isNull(), F.concat(F.lit("salary is not a number: '"), column.cast("string"), F.lit("'"))))
+
+
 def to_salary(column: Column, data_type) -> Column:
     """Whole-unit salary as BIGINT, truncating decimals.
 
@@ -29,22 +50,9 @@ def to_salary(column: Column, data_type) -> Column:
     -2``; malformed text (``abc``, empty) raises (ANSI cast), and a missing
     value raises instead of passing through as NULL.
     """
-    if isinstance(data_type, StringType):
-        # The digits before the point are the truncated value: no scale is lost
-        # on the way.  Other spellings of a number (1e3, .5) go through a double.
-        text = F.trim(column)
-        plain = text.rlike(r"^[+-]?[0-9]+([.][0-9]*)?$")
-        number = F.when(~plain, text.cast("double"))
-        value = F.when(plain, F.regexp_extract(text, r"^([+-]?[0-9]+)", 1).cast("bigint")).when(_whole(number), number.cast("bigint"))
-    elif isinstance(data_type, NumericType):
-        value = F.when(_whole(column.cast("double")), column.cast("bigint"))
-    else:
-        raise TypeError(f"salary must be text or numeric, not {data_type.simpleString()}")
-    # Both checks hold whatever spark.sql.ansi.enabled is: NaN and numbers out of
-    # range are NULL here, as is bad text with ANSI off, and the second one raises.
-    return (F.when(column.isNull(), F.raise_error(F.lit("salary is missing")))
-            .when(value.isNull(), F.raise_error(F.concat(F.lit("salary is not a number: "), column.cast("string"))))
-            .otherwise(value))
+    # The checks hold whatever spark.sql.ansi.enabled is.
+    fault = salary_fault(column, data_type)
+    return F.when(fault.isNotNull(), F.raise_error(fault)).otherwise(_salary_value(column, data_type))
 
 
 def employees(

@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from statlens.operators.dept import dept_stats
 from statlens.operators.publish import report_table, run_metrics
-from statlens.sources.employees import read_employees_csv
-from statlens.sources.tables import read_table, replace_table, write_report_csv
+from statlens.sources.employees import read_employees_csv, read_employees_quarantined
+from statlens.sources.tables import SnapshotDataError, read_table, replace_table, write_report_csv
 
 DEFAULT_RUN_NAME = "dept_stats_publish"
 DEFAULT_PARAMS = {"source": "employees", "destination": "report_table"}
@@ -44,10 +44,6 @@ DATA_ERRORS = ("MALFORMED_RECORD_IN_PARSING", "MALFORMED_CSV_RECORD", "CAST_INVA
                "NUMERIC_VALUE_OUT_OF_RANGE", "USER_RAISED_EXCEPTION", "CSV header does not conform to the schema")
 
 
-class SnapshotDataError(ValueError):
-    """A snapshot holds a value or a record that cannot be read; tables are unchanged."""
-
-
 @dataclass(frozen=True)
 class TablePaths:
     root: str
@@ -68,6 +64,10 @@ class TablePaths:
     def metrics(self) -> str:
         return f"{self.root}/run_metrics"
 
+    @property
+    def rejected_rows(self) -> str:
+        return f"{self.root}/rejected_rows"
+
     @property
     def rejected(self) -> str:
         return f"{self.root}/rejected_snapshots"
@@ -117,17 +117,28 @@ def run_snapshot_job(
     run_id: str | None = None,
     run_name: str = DEFAULT_RUN_NAME,
     params: dict[str, str] | None = None,
+    quarantine: bool = False,
 ) -> DataFrame:
     """Run the whole chain for one snapshot (a CSV path or an employee frame).
 
+    With ``quarantine`` (CSV paths only) bad lines don't fail the run: they are
+    written to the ``rejected_rows`` table (``file, line, reason``, a partition by
+    run) before the good rows replace the employee table.
+
     Returns the published statistics table.  Raises ``EmptySnapshotError``
     (tables unchanged) for an empty snapshot and ``SnapshotDataError`` (tables
     unchanged) for a malformed one; any other fault is raised as it is.
     """
     paths = TablePaths(root.rstrip("/"))
-    if isinstance(snapshot, str):
-        snapshot = read_employees_csv(spark, snapshot)
     run_id = run_id or f"{time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
+    if isinstance(snapshot, str) and quarantine:
+        snapshot, rejected = read_employees_quarantined(spark, snapshot)
+        (rejected.withColumn("run_id", F.lit(run_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(paths.rejected_rows))
+    elif quarantine:
+        raise ValueError("quarantine needs the path of a CSV snapshot")
+    elif isinstance(snapshot, str):
+        snapshot = read_employees_csv(spark, snapshot)
     load_snapshot(spark, snapshot, paths)
     stats = compute_stats(spark, paths)
     publish(spark, paths, run_id, run_name, params)
@@ -145,9 +156,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("root", help="shared folder holding the tables")
     ap.add_argument("--run-id", default=None)
     ap.add_argument("--run-name", default=DEFAULT_RUN_NAME)
+    ap.add_argument("--quarantine", action="store_true", help="keep bad lines aside instead of failing")
     args = ap.parse_args(argv)
     spark = build_session()
-    run_snapshot_job(spark, args.snapshot, args.root, run_id=args.run_id, run_name=args.run_name)
+    run_snapshot_job(spark, args.snapshot, args.root, run_id=args.run_id, run_name=args.run_name, quarantine=args.quarantine)
 
 
 if __name__ == "__main__":

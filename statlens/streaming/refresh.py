@@ -8,6 +8,8 @@ batch chain of ``snapshot_job``:
 * ``backfill=False`` (default, the reference's behaviour): a micro-batch
   is the signal that files have arrived; it loads only the newest file of the
   folder, by its listing, so older snapshots of the same interval are skipped.
+  The first attempt of a batch pins its file in the checkpoint folder, so a
+  replay publishes the same file whatever has landed since.
 * ``backfill=True``: one file per micro-batch (``maxFilesPerTrigger=1``), in
   arrival order, so every snapshot is published in turn.
 
@@ -17,8 +19,8 @@ The work is stateless (every batch overwrites the tables), so a batch that
 is replayed after a failure produces the same tables; the metrics of a batch
 are written under its own run id with dynamic partition overwrite, so a
 replay does not duplicate them.  An empty snapshot is skipped and the
-tables keep the previous snapshot (Q9).  A malformed snapshot (bad salary,
-bad row) is found while it is written beside the tables: they keep the previous
+tables keep the previous snapshot (Q9).  A malformed snapshot (bad header, bad
+salary, bad row) is found while it is written beside the tables: they keep the previous
 snapshot, the batch is recorded in the ``rejected_snapshots`` table with the
 reason, and the stream goes on.  Any other error (storage, executors, a fault of
 the job) fails the query, and the batch is replayed when it is started again.  The stream's checkpoint lives
@@ -33,10 +35,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from statlens.operators.dept import employees
-from statlens.plans.snapshot_job import DEFAULT_PARAMS, DEFAULT_RUN_NAME, SnapshotDataError, TablePaths, run_snapshot_job
+from statlens.plans.snapshot_job import DEFAULT_PARAMS, DEFAULT_RUN_NAME, TablePaths, run_snapshot_job
 from statlens.session import checkpoint_root
 from statlens.sources.employees import EMPLOYEES_RAW_SCHEMA, read_employees_csv
-from statlens.sources.tables import EmptySnapshotError
+from statlens.sources.tables import EmptySnapshotError, SnapshotDataError, read_file, write_file
 
 
 def snapshot_stream(spark: SparkSession, snapshot_dir: str, backfill: bool = False) -> DataFrame:
@@ -59,12 +61,25 @@ def newest_snapshot(spark: SparkSession, snapshot_dir: str) -> str | None:
     """The newest file of the folder by its listing (latest modification time, then path).
 
     It is chosen before its rows are looked at, so an older snapshot never stands
-    in for a newest file without rows.
+    in for a newest file without rows.  A file of 0 bytes is not listed: it counts
+    as not there.
     """
     files = spark.read.format("binaryFile").load(snapshot_dir).select("path", "modificationTime")
     return files.agg(F.max_by("path", F.struct("modificationTime", "path"))).first()[0]
 
 
+def pinned_snapshot(spark: SparkSession, snapshot_dir: str, checkpoint: str, epoch_id: int) -> str:
+    """The file of a batch: the newest one when the batch is first tried, the same one ever after."""
+    pin = f"{checkpoint.rstrip('/')}/snapshot_pins/{epoch_id:08d}"
+    path = read_file(spark, pin)
+    if path is None:
+        path = newest_snapshot(spark, snapshot_dir)
+        if path is None:
+            raise EmptySnapshotError(f"no file in {snapshot_dir}")
+        write_file(spark, pin, path)
+    return path
+
+
 def record_rejection(spark: SparkSession, root: str, run_id: str, reason: str) -> None:
     """One row in ``rejected_snapshots``: the batch and the error."""
     (spark.createDataFrame([(run_id, reason)], "run_id string, reason string")
@@ -92,12 +107,13 @@ def start_refresh(
     every snapshot in turn.  A snapshot with no rows is skipped (Q9).
     """
     params = params or DEFAULT_PARAMS
+    checkpoint = checkpoint or f"{checkpoint_root(spark)}/{name}"
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
         session = batch.sparkSession
         run_id = f"batch-{epoch_id:08d}"
         try:
-            rows = employees(batch) if backfill else read_employees_csv(session, newest_snapshot(session, snapshot_dir))
+            rows = employees(batch) if backfill else read_employees_csv(session, pinned_snapshot(session, snapshot_dir, checkpoint, epoch_id))
             run_snapshot_job(session, rows, root, run_id=run_id, run_name=run_name, params=params)
         except EmptySnapshotError:
             pass
@@ -107,7 +123,7 @@ def start_refresh(
     writer = (snapshot_stream(spark, snapshot_dir, backfill).writeStream
               .queryName(name)
               .foreachBatch(each_batch)
-              .option("checkpointLocation", checkpoint or f"{checkpoint_root(spark)}/{name}"))
+              .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif interval:
