@@ -59,7 +59,7 @@ def scalar_stats(
     element of the data, bounded memory).  ``mean_scale`` sums a fixed-scale
     column as DECIMAL for an exact, partition-independent mean.  ``method``
     is one of ``METHODS`` (see above).  Without ``with_mean`` the distributed
-    method leaves out ``n`` and the means, which need the histogram once more.
+    method leaves out ``n`` and the means.
     """
     require_columns(df, cols)
     if method not in METHODS:

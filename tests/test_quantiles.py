@@ -80,3 +80,47 @@ def test_with_stats_attaches_one_row(spark):
     assert {(r["x_median"], r["x_mean"]) for r in rows} == {(2.5, 4.0)}
     plan = with_stats(df, st)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_means_and_quantiles_from_one_scan(spark):
+    """Histogram, placement, counts and means read the table once."""
+    df = table(spark, SF01, "customer")
+    one = distributed_stats(df, ["c_acctbal", "c_custkey"], [0.25, 0.5], ["a", "b"], mean_scale=2)
+    exp = df.agg(F.expr("CAST(sum(CAST(c_acctbal AS DECIMAL(28,2))) AS DOUBLE) / count(c_acctbal) AS m"), F.count(F.lit(1)).alias("n")).first()
+    got = one.first()
+    assert (got["c_acctbal_mean"], got["n"]) == (exp["m"], exp["n"])
+
+
+def test_scalar_stats_reads_its_table_once(tmp_path):
+    """By the event log: the rows that the tasks of ``scalar_stats`` read are those of ``customer``, once."""
+    import json
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = f"""
+from statlens.session import build_session
+from statlens.plans.registry import QUERIES
+spark = build_session("local[2]", shuffle_partitions=4, extra={{"spark.eventLog.enabled": "true", "spark.eventLog.dir": "file://{tmp_path}", "spark.eventLog.compress": "false"}})
+QUERIES["scalar_stats"](spark, {SF01!r}).collect()
+spark.stop()
+"""
+    res = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parent.parent, capture_output=True, text=True, timeout=300)
+    assert res.returncode == 0, res.stderr[-2000:]
+    read = 0
+    for path in tmp_path.rglob("*"):
+        for line in path.read_text().splitlines() if path.is_file() and not path.name.endswith(".crc") else ():
+            event = json.loads(line)
+            if event["Event"] == "SparkListenerTaskEnd":
+                read += event["Task Metrics"]["Input Metrics"]["Records Read"]
+    assert read == 1500
+
+
+def test_nulls_nan_and_no_probs(spark):
+    df = spark.createDataFrame([(None, 1.0), (2.0, None), (None, float("nan")), (4.0, 3.0)], "x double, y double")
+    got = distributed_stats(df, ["x", "y"], [0.5], ["q"]).first()
+    assert (got["n"], got["x_q"], got["x_mean"]) == (4, 3.0, 3.0) and got["y_q"] == 3.0 and math.isnan(got["y_mean"])
+    got = distributed_stats(df, ["x"], [], []).first()
+    assert (got["n"], got["x_mean"]) == (4, 3.0)
+    none = distributed_stats(df.where("x < 0"), ["x", "y"], [0.5], ["q"]).first()
+    assert none["n"] == 0 and none["x_q"] is None and none["y_mean"] is None
