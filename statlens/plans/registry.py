@@ -24,6 +24,7 @@ from statlens.sources.testdata import TABLES, table
 YEAR = 2000
 GROUPS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST", "NATION_3"]
 ALSO_COUNTRY = ["NATION_3"]
+MORE_LABELS = ["World", *GROUPS, "NOWHERE"]
 EXCLUDED = ["World", "AFRICA", "ASIA"]
 CORRECTION = {"NATION_5": 52.31}
 DISCOUNT_BANDS = [("low", None, 0.03), ("middle", 0.03, 0.07), ("high", 0.07, None)]
@@ -83,6 +84,11 @@ def q_clean_indicator(spark, sf):
     return ent_clean(spark, sf)
 
 
+def q_year_filter(spark, sf):
+    """F1 on the frame of all years: the other years' rows go."""
+    return clean.clean_indicator(entity_frame(spark, sf), ["Entity", "Year", "v"], {"Entity": "Country"}, year=YEAR)
+
+
 def q_quoted_columns(spark, sf):
     raw = "v. $2.15 a day"
     df = rename_checked(ent_clean(spark, sf), {"v": raw})
@@ -90,7 +96,7 @@ def q_quoted_columns(spark, sf):
 
 
 def q_drop_nulls(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    docs = table(spark, sf, "documents")
     labels = table(spark, sf, "labels").select("doc_id", "quality", "toxic")
     return clean.drop_nulls(docs.join(labels, "doc_id", "left"))
 
@@ -168,6 +174,12 @@ def q_indicator_join(spark, sf):
     return joined(spark, sf)
 
 
+def q_subset_join(spark, sf):
+    """J1 on two subsets: countries of one that are not in the other are lost, on both sides."""
+    left = subset.above_means(ent_countries(spark, sf), ["v"])
+    return combine.indicator_join(left, subset.upper_quartile(idx_countries(spark, sf), "q", method=ENTITY_METHOD))
+
+
 def q_reference_lines(spark, sf):
     full = ent_countries(spark, sf)
     points = subset.lower_quartile(full, "v", method=ENTITY_METHOD).select("Country", "v", "pop")
@@ -182,6 +194,15 @@ def q_group_comparison(spark, sf):
     )
 
 
+def q_group_comparison_missing(spark, sf):
+    """J2 with labels that the frames lack: World (taken out by F4) and a name that is nowhere."""
+    ent_groups = clean.group_rows(ent_clean(spark, sf), "Country", MORE_LABELS)
+    idx_groups = subset.lower_quartile(clean.group_rows(idx_clean(spark, sf), "Country", MORE_LABELS), "q", method=ENTITY_METHOD)
+    return combine.group_comparison(
+        {"v": (ent_groups, "Country", "v", 1.0), "q_x10": (idx_groups, "Country", "q", 10.0)}, MORE_LABELS
+    )
+
+
 def q_top_k_score(spark, sf):
     return charts.ranked_bars(joined(spark, sf), "Country", "v", 10)
 
@@ -240,6 +261,7 @@ def q_run_metrics(spark, sf):
 QUERIES: dict[str, Query] = {
     "scan_indicator": q_scan_indicator,
     "clean_indicator": q_clean_indicator,
+    "year_filter": q_year_filter,
     "quoted_columns": q_quoted_columns,
     "drop_nulls": q_drop_nulls,
     "exclude_groups": q_exclude_groups,
@@ -257,8 +279,10 @@ QUERIES: dict[str, Query] = {
     "subset_names": q_subset_names,
     "subset_count": q_subset_count,
     "indicator_join": q_indicator_join,
+    "subset_join": q_subset_join,
     "reference_lines": q_reference_lines,
     "group_comparison": q_group_comparison,
+    "group_comparison_missing": q_group_comparison_missing,
     "top_k_score": q_top_k_score,
     "top_k_index": q_top_k_index,
     "first_n": q_first_n,
@@ -398,11 +422,12 @@ def _profile_sql() -> str:
 ORACLE_SQL: dict[str, str] = {
     "scan_indicator": _with(ENT) + "SELECT Entity, Year, v, b, pop FROM ent",
     "clean_indicator": _with(ENT, ENT_C) + "SELECT * FROM ent_c",
+    "year_filter": _with(ENT) + f"SELECT Entity AS Country, Year, v FROM ent WHERE Year = {YEAR} AND {_ok('Entity', 'Year', 'v', floats=('v',))} AND Entity <> 'World'",
     "quoted_columns": _with(ENT, ENT_C)
     + 'SELECT Country, "v. $2.15 a day" AS share FROM (SELECT Country, v AS "v. $2.15 a day" FROM ent_c)',
-    "drop_nulls": """SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+    "drop_nulls": """SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
-WHERE d.doc_id IS NOT NULL AND d.lang IS NOT NULL AND d.source IS NOT NULL AND d.n_chars IS NOT NULL
+WHERE d.doc_id IS NOT NULL AND d.text IS NOT NULL AND d.lang IS NOT NULL AND d.source IS NOT NULL AND d.n_chars IS NOT NULL
   AND l.quality IS NOT NULL AND l.toxic IS NOT NULL""",
     "exclude_groups": _with(ENT)
     + f"""SELECT Entity AS Country, Year, v, b, pop FROM ent
@@ -435,12 +460,24 @@ FROM customer""",
     + """SELECT count(*) AS n, coalesce(string_agg(Country, ', ' ORDER BY Country), '') AS names FROM ent_k
 WHERE v > (SELECT median(v) FROM ent_k) AND b > (SELECT median(b) FROM ent_k)""",
     "indicator_join": W_J + "SELECT * FROM j",
+    "subset_join": _with(ENT, ENT_C, ENT_K, IDX, IDX_C, IDX_K)
+    + """SELECT e.Country, e.Year, e.v, e.b, e.pop, i.q FROM ent_k e JOIN idx_k i ON e.Country = i.Country
+WHERE e.v > (SELECT avg(v) FROM ent_k) AND i.q >= (SELECT quantile_cont(q, 0.75) FROM idx_k)""",
     "reference_lines": W_ENT_K
     + """SELECT Country, v, pop,
        (SELECT quantile_cont(pop, 0.75) FROM ent_k) AS p75,
        (SELECT quantile_cont(pop, 0.25) FROM ent_k) AS p25,
        (SELECT avg(pop) FROM ent_k) AS mean
 FROM ent_k WHERE v <= (SELECT quantile_cont(v, 0.25) FROM ent_k)""",
+    "group_comparison_missing": _with(ENT, ENT_C, IDX, IDX_C)
+    + f"""SELECT CAST(g.position AS INTEGER) AS position, g.label, s.series, val.value
+FROM (VALUES {", ".join(f"({i}, '{x}')" for i, x in enumerate(MORE_LABELS))}) g(position, label)
+CROSS JOIN (VALUES ('v'), ('q_x10')) s(series)
+LEFT JOIN (
+  SELECT Country AS label, 'v' AS series, v AS value FROM ent_c WHERE Country IN {_in(MORE_LABELS)}
+  UNION ALL SELECT Country, 'q_x10', q * 10.0 FROM idx_c WHERE Country IN {_in(MORE_LABELS)}
+    AND q <= (SELECT quantile_cont(q, 0.25) FROM idx_c WHERE Country IN {_in(MORE_LABELS)})
+) val ON val.label = g.label AND val.series = s.series""",
     "group_comparison": _with(ENT, ENT_C, IDX, IDX_C)
     + f"""SELECT CAST(g.position AS INTEGER) AS position, g.label, s.series, val.value
 FROM (VALUES {", ".join(f"({i}, '{x}')" for i, x in enumerate(GROUPS))}) g(position, label)

@@ -66,9 +66,3 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns == ["Country", "Year", "v", "b", "pop", "q"]
     assert set(QUERIES) <= set(entry_mod.oracle_sql()) <= set(entry_mod.queries())
-
-
-def test_documents_text_is_never_read(spark):
-    p = plan(QUERIES["drop_nulls"](spark, SF001))
-    assert "ReadSchema: struct<doc_id:bigint,lang:string,source:string,n_chars:bigint>" in p
-    assert "text:string" not in p
