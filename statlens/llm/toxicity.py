@@ -1,17 +1,21 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, in numpy.
 
 A word's input is its word embedding (zero for words in fewer than ``LEAST_DOCS``
-training documents) beside the mean embedding of its character trigrams.  Windows of ``WINDOW`` words, ``STRIDE`` apart, cover a whole
-text; a forward and a backward GRU run over each window, attention pools their
+training documents) beside the mean embedding of its character trigrams.
+Windows of ``WINDOW`` words, ``STRIDE`` apart, cover a whole text; a forward and a backward GRU run over each window, attention pools their
 states, and a logistic unit scores the pool.  A document's score is that of its
 highest window.
 
 The network is trained on at most ``SAMPLE`` labelled documents of each class
-(those with the smallest hashes of their ids, whole texts).  A document's label
+(those with the smallest hashes of their ids; one row an id, the smallest text),
+and on no more than ``TRAIN_BYTES`` of text of each class: whole texts in the
+order of those hashes, and the first is taken whatever its size.  A document's label
 is known, not that of its windows: first the windows with the largest sum of
 word log odds stand for their documents, then those that the network itself
 scores highest.  Word log odds also start the first dimension of the word
-embedding.  Scoring is one pass over the documents, without a shuffle.
+embedding.  Scoring is one pass over the documents, without a shuffle; a text of
+more than ``TEXT_BLOCK`` bytes is scored in segments that overlap by a window, so
+every window that starts at a multiple of ``STRIDE`` words is scored.
 """
 
 from __future__ import annotations
@@ -20,16 +24,16 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from statlens.llm.common import bounded_batches
-from statlens.llm.textvec import BASE, FOLD, INVERSE, IS_WORD, U64, mix, powers, slices
+from statlens.llm.textvec import BASE, FOLD, INVERSE, IS_WORD, U64, mix, powers, segments, slices
 
-SAMPLE, LEAST_DOCS, THRESHOLD = 1000, 3, 0.3
+SAMPLE, LEAST_DOCS, THRESHOLD, TRAIN_BYTES = 1000, 3, 0.3, 8 << 20
 WINDOW, STRIDE, HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION = 32, 16, 8, 8, 8, 8
 CHAR_BUCKETS = 1 << 12
-PHASES, STEPS, BATCH, RATE, TEXT_BLOCK, WINDOW_BLOCK = 3, 120, 128, 0.01, 2 << 20, 4096
+PHASES, STEPS, BATCH, RATE, TEXT_BLOCK, WINDOW_BLOCK = 3, 120, 128, 0.01, 1 << 19, 4096
 
 
 class Words:
@@ -46,7 +50,7 @@ class Words:
         self.hashes, lead, self.word = np.unique(hashes, return_index=True, return_inverse=True)
         n = (end - start)[lead]  # a trigram around each byte of the word
         at = np.repeat(start[lead], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        x = joined.astype(np.uint32)
+        x = np.where(IS_WORD[joined], joined, 32).astype(np.uint32)  # what stands beside a word is no part of it
         code = x[at - 1] * np.uint32(0x9E3779B1) ^ x[at] * np.uint32(0x85EBCA6B) ^ x[at + 1] * np.uint32(0xC2B2AE35)
         self.gram = ((code * np.uint32(0x27D4EB2F)) >> np.uint32(20)).astype(np.int64) & (CHAR_BUCKETS - 1)
         self.gram_start, self.gram_count = np.cumsum(n) - n, n
@@ -225,12 +229,34 @@ def train(texts: list[bytes], label: np.ndarray, seed: int = 7) -> dict[str, np.
     return m
 
 
+def overlapping(text: bytes, limit: int = TEXT_BLOCK) -> Iterator[bytes]:
+    """A text in segments of about ``limit`` bytes; each begins at a multiple of ``STRIDE`` words and holds all windows that start in its part."""
+    if len(text) <= limit:
+        yield text
+        return
+    starts, at, word = [], 0, 0
+    for a, e in segments(text, limit // 4):  # where every STRIDE-th word starts
+        inside = np.r_[False, IS_WORD[np.frombuffer(text, np.uint8, e - a, a)]]
+        first = np.flatnonzero(inside[1:] & ~inside[:-1])
+        starts.append(a + first[(-word) % STRIDE::STRIDE])
+        word += len(first)
+    starts = np.concatenate(starts)
+    ahead, k = WINDOW // STRIDE + 1, 0
+    while True:
+        end = max(int(np.searchsorted(starts, at + limit)), k + 1)
+        yield text[at:int(starts[end + ahead]) if end + ahead < len(starts) else len(text)]
+        if end + ahead >= len(starts):
+            return
+        at, k = int(starts[end]), end
+
+
 def score_texts(m: dict, texts: list[bytes]) -> np.ndarray:
     """The highest window's score of each text; a text without a word has one empty window."""
     out = np.zeros(len(texts))
-    for part in slices([len(t) for t in texts], TEXT_BLOCK):
-        words = Words(texts[part])
-        np.maximum.at(out[part], words.text, window_scores(m, words).astype(float))
+    pieces = [(i, p) for i, t in enumerate(texts) for p in overlapping(t)]
+    for part in slices([len(p) for _, p in pieces], TEXT_BLOCK):
+        words, number = Words([p for _, p in pieces[part]]), np.array([i for i, _ in pieces[part]])
+        np.maximum.at(out, number[words.text], window_scores(m, words).astype(float))
     return out
 
 
@@ -240,9 +266,11 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = S
     known = known.where(f"NOT ({HELD_OUT.format('l_')})").groupBy("l_").agg(F.max("toxic").alias("toxic"))
     rows = []
     for value in (0, 1):
-        ids = F.broadcast(known.where(F.col("toxic") == value).orderBy(F.xxhash64("l_"), "l_").limit(sample))  # at most ``sample`` ids
-        found = docs.join(ids, F.col("doc_id").cast("long") == F.col("l_"))
-        rows.append(found.selectExpr("l_", "coalesce(cast(text AS string), '') AS t").toPandas().sort_values("l_", kind="stable"))
+        ids = known.where(F.col("toxic") == value).select("l_", F.xxhash64("l_").alias("h")).orderBy("h", "l_").limit(sample)
+        found = docs.join(F.broadcast(ids), F.col("doc_id").cast("long") == F.col("l_"))  # at most ``sample`` ids
+        texts = found.groupBy("h", "l_").agg(F.min(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("t"))
+        upto = F.sum(F.octet_length("t")).over(Window.orderBy("h", "l_"))  # at most ``sample`` rows
+        rows.append(texts.withColumn("upto", upto).where(f"upto <= {TRAIN_BYTES} OR upto = octet_length(t)").select("l_", "t").toPandas().sort_values("l_", kind="stable"))
     if rows[0].empty or rows[1].empty:
         return None
     texts = [t.encode("utf-8", "surrogatepass") for r in rows for t in r["t"]]
