@@ -1,8 +1,13 @@
-"""Suffix-array dedup by a depth-limited radix sort.
+"""Suffix-array dedup, depth-limited: which strings of ``LENGTH`` bytes repeat.
 
 Removed is every byte covered by a string of ``LENGTH`` bytes that also starts
-somewhere else.  Only suffixes that still share their group are sorted deeper,
-and no suffix is sorted beyond ``LENGTH`` bytes:
+somewhere else.  The groups are those that a depth-limited radix sort of all
+suffixes would end with, but nothing is sorted by digits here: successive passes
+over all suffixes would shuffle each start once a pass (13 passes of 32 bytes:
+for the 864 MB of text of the larger check table 11 billion rows, against
+44 million rows that all steps below read).  Hash grouping of runs of starts stands in
+for the passes, in three steps of growing depth, and only groups that are still
+open go on:
 
 Pass 1.  Of the suffixes starting in any ``WINDOW`` consecutive places one is the
 anchor: the one whose first ``GRAM`` bytes hash lowest, the first of equals.

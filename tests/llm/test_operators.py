@@ -235,6 +235,20 @@ def test_genetic_packing_beats_or_equals_best_fit():
     assert np.bincount(bins, size).max() <= 1000 and packing.fitness(bins, size, 1000) <= packing.fitness(np.array(first), size, 1000)
 
 
+def test_whole_packing_beats_best_fit_strictly(spark):
+    """Sizes on which best fit in decreasing order needs more bins than the genetic search finds, over several shards."""
+    rng = np.random.default_rng(3)
+    size = rng.integers(200, 700, 300)
+    df = spark.createDataFrame([(int(n), "x") for n in size], "length long, bin string")
+    got = packing.pack(spark, df, capacity=1000, shard=150).toPandas()
+    load = got.groupby("sequence_id")["length"].sum()
+    assert len(got) == len(size) and sorted(got["length"]) == sorted(size) and load.max() <= 1000
+    first = [0] * len(size)
+    order = np.argsort(-size, kind="stable")
+    packing.best_fit(order, size.tolist(), {}, first, 1000, 0)
+    assert len(load) < len(set(first))
+
+
 def test_warc(spark, tmp_path):
     pages = [(1, "http://a.org/1", "<p>x</p>"), (2, "http://b.org/2", "<p>x</p>"), (3, None, None), (4, "http://c\r\nWARC-Type: x", ""),
              (5, "http://d", "é" * 100_000), (6, "http://e", "WARC/1.1\r\n\r\nWARC-Type: response\r\n\r\n"), (None, "http://f", "<p>x</p>"),
