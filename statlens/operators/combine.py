@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from statlens.functions.columns import quote, require_columns, sql_in, sql_literal, sql_str
@@ -42,6 +42,43 @@ def indicator_join(
     return left.join(right, keys, how)
 
 
+def audited_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: str | Sequence[str] = "Country",
+    drop_right: Sequence[str] = ("Year",),
+) -> tuple[DataFrame, Observation]:
+    """``indicator_join`` and an account of the rows that it loses, from the same run.
+
+    The observation's ``get`` (after an action on the join) has ``matched`` (rows of
+    the result), ``left_unmatched`` and ``right_unmatched`` (rows without a partner; a
+    NULL key has none) and ``left_repeated`` and ``right_repeated`` (rows whose key
+    comes more than once on their side).  No side is scanned again: the sides are
+    joined outwards, the metrics are taken on the way, and the unmatched rows then
+    go.  So both sides are shuffled by the key; use ``indicator_join`` where no
+    account is wanted.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    marks = ["__left", "__right"]
+    require_columns(left, keys)
+    require_columns(right, keys)
+    per_key = Window.partitionBy(*[quote(k) for k in keys])
+    sides = [df.withColumn(m, F.count(F.lit(1)).over(per_key)) for df, m in zip((left, right), marks)]
+    both = indicator_join(*sides, on=keys, drop_right=drop_right, how="full_outer")
+    account = Observation()
+    here = [F.col(m).isNotNull() for m in marks]
+    seen = both.observe(
+        account,
+        F.count_if(here[0] & here[1]).alias("matched"),
+        F.count_if(here[0] & ~here[1]).alias("left_unmatched"),
+        F.count_if(here[1] & ~here[0]).alias("right_unmatched"),
+        # a row of one side comes as often as the other side has its key
+        F.coalesce(F.sum(F.when(F.col(marks[0]) > 1, 1 / F.coalesce(F.col(marks[1]), F.lit(1)))), F.lit(0)).alias("left_repeated"),
+        F.coalesce(F.sum(F.when(F.col(marks[1]) > 1, 1 / F.coalesce(F.col(marks[0]), F.lit(1)))), F.lit(0)).alias("right_repeated"),
+    )
+    return seen.where(here[0] & here[1]).drop(*marks), account
+
+
 def group_comparison(
     series: Mapping[str, tuple[DataFrame, str, str, float]],
     labels: Sequence[str],
