@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statlens.llm.common import staged
-from statlens.llm.textvec import WORD_TABLE
+from statlens.llm.textvec import WORD_TABLE as _TABLE
 from statlens.llm.sieve import passes, sieve
 from statlens.llm.suffix_dedup import hashes64, hashes128, keyed, merged, parts, with_text
 
@@ -77,7 +77,7 @@ def sentences(text: bytes) -> tuple[list[int], list[list[bytes]]]:
     for m in _SENTENCE.finditer(text):
         if m.end() == m.start():
             continue
-        w = m[0].translate(WORD_TABLE).split()
+        w = m[0].translate(_TABLE).split()
         if len(w) <= LONG:
             add(m.end(), w)
             continue
