@@ -31,6 +31,8 @@ from statlens.llm.word_tokens import TEXT_BLOCK, text_blocks, word_tokenizer
 TOKENIZER, END_ID = "word_bpe_49k.json", 1
 #: A file is closed after the block of texts with which it has this many ids; blocks that are coded side by side.
 FILE_IDS, GROUP = 6_000_000, 4
+#: Word parts of one generation that a worker keeps (about 110 bytes each).
+KEPT = 600_000
 MAGIC = b"IDRANGE1"
 #: Bits of an id, blocks, documents, ids, where the table begins, its bytes, its CRC-32.
 FOOTER, FOOTER_SIZE = "<IQQQQII", 44
@@ -139,7 +141,7 @@ def write_token_files(spark: SparkSession, docs: DataFrame, folder: str, tokeniz
     rows = rows.repartitionByRange("doc_id", "h", "m").sortWithinPartitions("doc_id", "h", "m")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_tokenizer(tokenizer)
+        words = word_tokenizer(tokenizer, KEPT)
         bits = max(id_coder.PLACE_BITS, 16, int(max(len(words.ends) - 1, end_id)).bit_length())
         out, first = None, ()
 

@@ -32,7 +32,7 @@ class WordTokenizer:
     #: Keys and bytes of one generation of kept keys; the one before it is kept too.
     KEPT, KEPT_BYTES = 400_000, 16 << 20
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int = KEPT):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
@@ -44,11 +44,11 @@ class WordTokenizer:
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.kept: dict[bytes, bytes] = {b"": b""}
         self.before: dict[bytes, bytes] = {}
-        self.bytes = 0
+        self.most, self.bytes = kept, 0
 
     def _learn(self, keys: list[bytes], odd: np.ndarray) -> None:
         """Keep the ids of distinct ``keys``, from the generation before or from the library (the whole tokenizer where ``odd``)."""
-        if len(self.kept) > self.KEPT or self.bytes > self.KEPT_BYTES:
+        if len(self.kept) > self.most or self.bytes > self.KEPT_BYTES:
             self.before, self.kept, self.bytes = self.kept, {b"": b""}, 0
         whole = {keys[k] for k in np.flatnonzero(odd).tolist()}
         missing = set(keys).difference(self.kept)
@@ -128,11 +128,11 @@ def word_parts(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 @lru_cache(maxsize=1)
-def word_tokenizer(name: str) -> WordTokenizer:
-    """The tokenizer that a Python worker keeps from task to task."""
+def word_tokenizer(name: str, kept: int = WordTokenizer.KEPT) -> WordTokenizer:
+    """The tokenizer that a Python worker keeps from task to task; ``kept``: keys of one generation."""
     import public_tokenizers
 
-    return WordTokenizer(public_tokenizers.path(name))
+    return WordTokenizer(public_tokenizers.path(name), kept)
 
 
 def text_blocks(batches: Iterable[pa.RecordBatch], column: str, limit: int = TEXT_BLOCK) -> Iterator[pa.RecordBatch]:
