@@ -31,6 +31,8 @@ from statlens.llm.word_tokens import text_blocks, word_tokenizer
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY, END_ID = 4096, 1
+#: Bytes of text tokenised at once, and word parts of one generation that a worker keeps (about 110 bytes each).
+TEXT_BLOCK, KEPT = 4 << 20, 300_000
 #: Pieces of a shard, islands of a shard, epochs (migrations between them), population, generations an epoch.
 SHARD, ISLANDS, EPOCHS, POPULATION, GENERATIONS = 4096, 3, 2, 6, 6
 #: From this fill on a bin is well-filled: it is injected by crossover and final at the end of a level.
@@ -41,8 +43,8 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 def token_pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """The pieces of every row of ``docs``; a null text counts as empty (its one token is ``end_id``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = word_tokenizer(tokenizer), np.array([end_id], "<u4").tobytes()
-        for b in text_blocks(batches, "t"):
+        words, end = word_tokenizer(tokenizer, KEPT), np.array([end_id], "<u4").tobytes()
+        for b in text_blocks(batches, "t", TEXT_BLOCK):
             ids, ends = words.encode(b.column("t"))
             size = np.diff(ends, prepend=0) + 1
             pieces = -(-size // capacity)
